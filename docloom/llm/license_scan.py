@@ -64,12 +64,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def shingles(name: str, width: int = WIDTH) -> Column:
-    """Hashes of a word array's shingles, in order; empty where there are too few words."""
-    parts = ", ".join(f"get({name}, i + {j})" for j in range(width))
-    return F.expr(
-        f"if(size({name}) < {width}, cast(array() as array<long>), transform(sequence(0, size({name}) - {width}), i -> xxhash64({parts})))"
-    )
+def shingles(text: Column, width: int = WIDTH) -> Column:
+    """An array with one element: the hashes of a text's shingles, in order; none where there are too few words.
+
+    The words are bound once, as a lambda's variable: filters that Catalyst
+    moves below this expression can't copy it into the loop over its words.
+    """
+
+    def of(w: Column) -> Column:
+        grams = F.transform(
+            F.sequence(F.lit(0), F.size(w) - width), lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(width)))
+        )
+        return F.when(F.size(w) < width, F.expr("cast(array() as array<long>)")).otherwise(grams)
+
+    return F.transform(F.array(words(text)), of)
 
 
 def _bands(name: str) -> Column:
@@ -80,29 +88,23 @@ def _bands(name: str) -> Column:
 def _templates(templates: DataFrame) -> DataFrame:
     """(template_id, segment, size class b, set): long templates are cut into segments of at most ``LONGEST`` shingles."""
     rows = (
-        templates.select(F.col("template_id").cast("string").alias("template_id"), words(F.col("text")).alias("w"))
-        .select("template_id", shingles("w").alias("sh"))
+        templates.select(F.col("template_id").cast("string").alias("template_id"), F.explode(shingles(F.col("text"))).alias("sh"))
         .filter("template_id is not null and size(sh) > 0")
         .select("template_id", F.posexplode(F.expr(f"transform(sequence(0, (size(sh) - 1) div {LONGEST}), k -> array_distinct(slice(sh, cast(k * {LONGEST} + 1 as int), {LONGEST})))")).alias("segment", "set"))
     )
     return rows.withColumn("b", F.expr("cast(pow(2, ceil(log2(size(set)))) as int)")).dropDuplicates(["template_id", "segment"])
 
 
-def _windows(docs: DataFrame, b: int, shared: str) -> DataFrame:
+def _shares(sh: Column, literals: Column | None) -> Column:
+    return F.size(sh) > 0 if literals is None else F.arrays_overlap(sh, literals)
+
+
+def _windows(docs: DataFrame, b: int, literals: Column | None) -> DataFrame:
     """(key, start, s, b): the windows of one size class that share a shingle with a template."""
     step = max(1, b // 2)
     wide = b + step - 1
-    return (
-        docs.select(
-            "key",
-            F.explode(
-                F.expr(
-                    f"filter(transform(sequence(0, (size(sh) - 1) div {step}), k -> named_struct('start', cast(k * {step} as int), 's', slice(sh, cast(k * {step} + 1 as int), {wide}))), w -> {shared.format('w.s')})"
-                )
-            ).alias("w"),
-        )
-        .select("key", "w.start", "w.s", F.lit(b).alias("b"))
-    )
+    every = F.expr(f"transform(sequence(0, cast((size(sh) - 1) div {step} as int)), k -> named_struct('start', k * {step}, 's', slice(sh, k * {step} + 1, {wide})))")
+    return docs.select("key", F.explode(F.filter(every, lambda w: _shares(w["s"], literals))).alias("w")).select("key", "w.start", "w.s", F.lit(b).alias("b"))
 
 
 def scan(df: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST) -> DataFrame:
@@ -123,16 +125,16 @@ def scan(df: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_i
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     known = t.select(F.explode("set").alias("h")).distinct()
     few = known.limit(LITERALS + 1).collect()
-    shared = "arrays_overlap({}, array(%s))" % ", ".join(f"{r[0]}L" if r[0] > -(1 << 63) else "(-9223372036854775807L - 1L)" for r in few) if 0 < len(few) <= LITERALS else "size({}) > 0"
-    hashed = docs.select(F.struct("doc_id", "text_hash").alias("key"), words(F.col("text")).alias("w")).select("key", shingles("w").alias("sh"))
-    held = materialise(hashed.filter(F.expr(shared.format("sh"))).distinct())
+    literals = F.lit([r[0] for r in few]).cast("array<long>") if 0 < len(few) <= LITERALS else None
+    with_shared = F.filter(shingles(F.col("text")), lambda sh: _shares(sh, literals))
+    held = materialise(docs.select(F.struct("doc_id", "text_hash").alias("key"), F.explode(with_shared).alias("sh")).dropDuplicates(["key"]))
     out = docs.select("doc_id", "text_hash")
     none = F.expr("cast(array() as array<struct<template_id:string,containment:double,start_word:int>>)")
     if not classes:
         return out.select("doc_id", none.alias("matches"))
     windows = None
     for b in classes:
-        more = _windows(held, b, shared)
+        more = _windows(held, b, literals)
         windows = more if windows is None else windows.unionByName(more)
     size = t.agg(F.sum(F.size("set") * 8 + 64)).first()[0]
     near = F.broadcast if size * BANDS <= BROADCAST_BYTES else (lambda x: x)
@@ -164,8 +166,8 @@ def scan(df: DataFrame, templates: DataFrame | None = None, id_col: str = "doc_i
 def oracle(table: str = "documents") -> str:
     """DuckDB SQL for the digest of ``scan`` with the default notices: exact containment in every window, without bands."""
     values = ", ".join("('{}', '{}')".format(a, b.replace("'", "''")) for a, b in NOTICES)
-    split = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), x -> x <> '')"
-    grams = "list_transform(range(0, len(w) - {0}), i -> array_to_string(w[i + 1 : i + {1}], ' '))".format(WIDTH - 1, WIDTH)
+    split = "list_filter(string_split_regex(lower(coalesce(text, '')), '[^a-z0-9]+'), lambda x: x <> '')"
+    grams = "list_transform(range(0, len(w) - {0}), lambda i: array_to_string(w[i + 1 : i + {1}], ' '))".format(WIDTH - 1, WIDTH)
     return f"""
 with template as (
   select template_id, list_distinct({grams}) as t from (select template_id, {split} as w from (values {values}) v(template_id, text))
@@ -178,7 +180,7 @@ with template as (
 ), near as (
   select doc_id, template_id, t, step, wide, sh from doc join stepped on list_has_any(sh, t)
 ), hit as (
-  select doc_id, template_id, len(t) as n, unnest(list_transform(range(0, (len(sh) - 1) // step + 1), k -> len(list_intersect(t, sh[k * step + 1 : k * step + wide])))) as m
+  select doc_id, template_id, len(t) as n, unnest(list_transform(range(0, (len(sh) - 1) // step + 1), lambda k: len(list_intersect(t, sh[k * step + 1 : k * step + wide])))) as m
   from near
 ), best as (
   select doc_id, template_id, max(m) / any_value(n) as containment from hit group by all having max(m) / any_value(n) >= {LEAST}
