@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import bloom_has, bloom_of, id_and_text, materialise, texts
@@ -36,11 +36,11 @@ from docloom.llm.components import components
 #: Registers: base of the powers, rate of the exponential variables (so that small sets aren't truncated), largest value.
 BASE, RATE, TOP = 1.02, 20.0, 4_000
 #: Words whose hashes a worker keeps; shingles hashed at once.
-WORDS_KEPT, CHUNK = 400_000, 2_048
+WORDS_KEPT, CHUNK = 400_000, 512
 #: How far below the threshold an estimate rules a candidate out: over seven standard deviations of 192 registers.
 MARGIN = 0.2
-#: Pivots of a bucket in the first round, and how many times as many in each next one; copies of a pivot's set in a join.
-PIVOTS, MORE, SALT = 1, 4, 16
+#: Pivots of a bucket in the first round, and how many times as many in each next one; members that a copy of a pivot meets in a join.
+PIVOTS, MORE, MEETS = 4, 16, 256
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -63,7 +63,7 @@ class Setting:
     @property
     def factors(self) -> np.ndarray:
         rng = np.random.default_rng(self.seed)
-        return rng.integers(0, 1 << 63, self.rows * self.bands, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        return rng.integers(0, 1 << 31, self.rows * self.bands, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
 class _Words(dict):
@@ -98,10 +98,11 @@ class Sketcher:
         return np.unique(h ^ (h >> np.uint64(32)))
 
     def registers(self, shingles: np.ndarray) -> np.ndarray:
-        least = np.full(len(self.factors), np.iinfo(np.uint64).max, np.uint64)
-        for i in range(0, len(shingles), CHUNK):
-            np.minimum(least, (shingles[i : i + CHUNK, None] * self.factors).min(axis=0), out=least)
-        u = (least.astype(np.float64) + 0.5) / 2.0**64
+        least = np.full(len(self.factors), np.iinfo(np.uint32).max, np.uint32)
+        low = shingles.astype(np.uint32)  # the shingles' low halves, multiplied in 32 bits: four times as many at once
+        for i in range(0, len(low), CHUNK):
+            np.minimum(least, (low[i : i + CHUNK, None] * self.factors).min(axis=0), out=least)
+        u = (least.astype(np.float64) + 0.5) / 2.0**32
         return np.clip(np.floor(1 - np.log(-np.log1p(-np.minimum(u, 1 - 1e-16)) / RATE) / math.log(BASE)), 0, TOP).astype(np.uint16)
 
     def bands(self, registers: np.ndarray) -> list[int]:
@@ -187,8 +188,8 @@ def full_sets(df: DataFrame, wanted: DataFrame, setting: Setting, id_col: str, t
 
 
 def _buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, rep) of bands that several classes share; buckets of the same members are one."""
-    member = classes.select("rep", F.posexplode("bands").alias("band", "value")).select("rep", F.xxhash64("band", "value").alias("bucket"))
+    """(bucket, rep, n) of bands that several classes share; buckets of the same members are one."""
+    member = classes.select("rep", "n", F.posexplode("bands").alias("band", "value")).select("rep", "n", F.xxhash64("band", "value").alias("bucket"))
     shared = (
         member.groupBy("bucket")
         .agg(F.count("*").alias("size"), F.min("rep").alias("least"), F.expr("bit_xor(xxhash64(rep, 5L))").alias("mark"))
@@ -200,42 +201,45 @@ def _buckets(classes: DataFrame) -> DataFrame:
     return member.join(shared, "bucket")
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _likely(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of pairs with registers, those whose estimate doesn't rule them out."""
+    for batch in it:
+        keep = np.zeros(batch.num_rows, bool)
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            regs = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(part.num_rows, -1) for c in ("r_a", "r_b")]
+            sizes = (part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("n_a", "n_b"))
+            keep[lo : lo + 256] = estimate(*regs, *sizes) >= percent / 100 - MARGIN
+        yield batch.select(["a", "b", "copies", "copy"]).filter(pa.array(keep))
+
+
+def _alike(it: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Of pairs with full sets, those that reach the threshold."""
+    for batch in it:
+        keep = np.zeros(batch.num_rows, bool)
+        for i, (s_a, s_b) in enumerate(zip(batch.column("s_a"), batch.column("s_b"), strict=True)):
+            x, y = (np.frombuffer(s.as_py(), np.uint64) for s in (s_a, s_b))
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
+        yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+
+def _confirm(pairs: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the pairs whose full sets reach the threshold.
 
-    A pivot may meet very many members: its set is laid out ``SALT`` times, and
-    rows are then dealt by the member.
+    ``pairs`` (a, b, copies, copy), ``pivots`` (a, copies).  The registers
+    decide which pairs the full sets are laid beside.  A pivot that may meet
+    very many members is laid out in copies, among which its members are dealt.
     """
-    pivots = sets.join(pairs.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi")
-    pivots = pivots.select(
-        F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("registers").alias("r_a"), F.col("shingles").alias("s_a"), F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
-    )
-    members = sets.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("registers").alias("r_b"), F.col("shingles").alias("s_b"))
-    # sets of too different sizes can't reach the threshold
-    rows = (
-        pairs.withColumn("salt", F.expr(f"cast(pmod(xxhash64(b), {SALT}) as int)"))
-        .join(pivots, ["a", "salt"])
-        .join(members, "b")
-        .filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
-    )
 
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            good_a, good_b = [], []
-            ids_a, ids_b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                regs = [np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(part.num_rows, -1) for c in ("r_a", "r_b")]
-                near = estimate(*regs, *(part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("n_a", "n_b"))) >= percent / 100 - MARGIN
-                for i in np.flatnonzero(near):
-                    x, y = (np.frombuffer(part.column(c)[int(i)].as_py(), np.uint64) for c in ("s_a", "s_b"))
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        good_a.append(ids_a[lo + i])
-                        good_b.append(ids_b[lo + i])
-            yield pa.RecordBatch.from_arrays([pa.array(good_a, pa.int64()), pa.array(good_b, pa.int64())], ["a", "b"])
-
-    return rows.select("a", "b", "n_a", "n_b", "r_a", "r_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+    def beside(rows: DataFrame, *columns: str) -> DataFrame:
+        member = sets.select(F.col("rep").alias("b"), *(F.col(c).alias(f"{c[0]}_b") for c in columns))
+        pivot = sets.select(F.col("rep").alias("a"), *(F.col(c).alias(f"{c[0]}_a") for c in columns)).join(pivots, "a")
+        pivot = pivot.withColumn("copy", F.explode(F.expr("sequence(0L, copies - 1)"))).drop("copies")
+        return rows.join(member, "b").join(pivot, ["a", "copy"])
+
+    likely = beside(pairs, "n", "registers").mapInArrow(lambda it: _likely(it, percent), "a long, b long, copies long, copy long")
+    return beside(likely, "shingles").select("a", "b", "s_a", "s_b").mapInArrow(lambda it: _alike(it, percent), "a long, b long")
 
 
 def _link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
@@ -250,25 +254,29 @@ def _link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None
         else:
             open_ones = open_ones.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         sizes = open_ones.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        mixed = sizes.groupBy("bucket").agg(F.count("*").alias("k"), F.max(F.struct("n", "component")).alias("largest")).filter("k > 1")
-        open_ones = materialise(open_ones.join(mixed.select("bucket", F.col("largest.component").alias("largest")), "bucket"))
+        mixed = sizes.groupBy("bucket").agg(F.count("*").alias("k"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("largest")).filter("k > 1")
+        open_ones = materialise(open_ones.join(mixed.select("bucket", "size", F.col("largest.component").alias("largest")), "bucket"))
         if open_ones.isEmpty():
             return labels
         # pivots come from all but the bucket's largest component: one from each of a number of parts
         chosen = (
             open_ones.filter("component <> largest")
             .groupBy("bucket", F.expr(f"pmod(xxhash64(rep, 9L), {pivots})").alias("part"))
-            .agg(F.min(F.struct("rep", "component")).alias("p"))
-            .select("bucket", F.col("p.rep").alias("a"), F.col("p.component").alias("of_a"))
+            .agg(F.min(F.struct("rep", "component", "n")).alias("p"), F.max("size").alias("size"))
+            .select("bucket", F.col("p.rep").alias("a"), F.col("p.component").alias("of_a"), F.col("p.n").alias("n_a"), "size")
         )
-        chosen = materialise(chosen)
+        # a pivot stands in at most as many buckets as there are bands
+        chosen = materialise(chosen.withColumn("copies", F.ceil(F.max("size").over(Window.partitionBy("a")) / MEETS)).drop("size"))
         pairs = (
-            open_ones.join(chosen, "bucket")
-            .filter("component <> of_a")
-            .select("a", F.col("rep").alias("b"))
+            open_ones.drop("size")
+            .join(chosen, "bucket")
+            # sets of too different sizes can't reach the threshold
+            .filter(f"component <> of_a and 100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
+            .select("a", F.col("rep").alias("b"), "copies")
             .distinct()
+            .withColumn("copy", F.expr("pmod(xxhash64(b), copies)"))
         )
-        found = materialise(_confirm(materialise(pairs), sets, percent))
+        found = materialise(_confirm(pairs, chosen.select("a", "copies").distinct(), sets, percent))
         edges = found if edges is None else edges.unionByName(found)
         if not found.isEmpty():
             labels = materialise(components(edges))
@@ -292,7 +300,7 @@ def near_duplicates(df: DataFrame, setting: Setting = Setting(), id_col: str = "
     classes = materialise(
         rows.filter("doc_id is not null and set_hash is not null")
         .groupBy("set_hash")
-        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     )
     members = materialise(_buckets(classes))
     names = classes.select("rep", "set_hash")
