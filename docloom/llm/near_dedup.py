@@ -35,14 +35,15 @@ from docloom.llm.components import components
 
 #: Registers: base of the powers, rate of the exponential variables (so that small sets aren't truncated), largest value.
 BASE, RATE, TOP = 1.02, 20.0, 4_000
-#: Words whose hashes a worker keeps; shingles hashed at once.
-WORDS_KEPT, CHUNK = 400_000, 512
+#: Bytes of a text whose words are hashed at once, the longest word hashed with others, shingles multiplied at once.
+BLOCK, LONG_WORD, CHUNK = 1 << 16, 64, 512
 #: How far below the threshold an estimate rules a candidate out: over seven standard deviations of 192 registers.
 MARGIN = 0.2
 #: Pivots of a bucket in the first round, and how many times as many in each next one; members that a copy of a pivot meets in a join.
 PIVOTS, MORE, MEETS = 4, 16, 256
 
-_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
+_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 
 
 @dataclass(frozen=True)
@@ -66,36 +67,83 @@ class Setting:
         return rng.integers(0, 1 << 31, self.rows * self.bands, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-class _Words(dict):
-    """64-bit hashes of words, to a fixed number."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word)
-        return out
-
-
 class Sketcher:
-    """Shingle sets and registers of texts; made once a worker."""
+    """Shingle sets and registers of texts; made once a worker.
+
+    A word's hash is a polynomial of odd base over random values of its bytes,
+    modulo 2**64; all words of a block are summed at once, each with the powers
+    of where it stands, and divided by the power of its start.  Words of over
+    ``LONG_WORD`` bytes are hashed one by one.
+    """
 
     def __init__(self, setting: Setting):
-        self.setting, self.words, self.factors = setting, _Words(), setting.factors
+        self.setting, self.factors = setting, setting.factors
+        rng = np.random.default_rng(setting.seed + 1)
+        self.values = rng.integers(1, 1 << 63, 256, dtype=np.uint64)[_LOWER]
+        self.values[_SPACE] = 0
+        base = int(rng.integers(1 << 60, 1 << 61)) * 8 + 5
+        self.powers = self._powers(base)
+        self.inverse = self._powers(pow(base, -1, 1 << 64))
+
+    @staticmethod
+    def _powers(base: int) -> np.ndarray:
+        steps = np.full(BLOCK, base & ((1 << 64) - 1), np.uint64)
+        steps[0] = 1
+        return np.multiply.accumulate(steps)
+
+    def _hash(self, raw: np.ndarray) -> np.ndarray:
+        """The hashes of the words of a block."""
+        space = np.ones(len(raw) + 2, bool)
+        space[1:-1] = _SPACE[raw]
+        edge = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = edge[::2], edge[1::2]
+        if not len(starts):
+            return np.empty(0, np.uint64)
+        long = np.flatnonzero(ends - starts > LONG_WORD)
+        if len(raw) <= BLOCK:
+            out = np.add.reduceat(self.values[raw] * self.powers[: len(raw)], starts) * self.inverse[starts]
+        else:  # only a single word is longer than a block
+            out = np.zeros(len(starts), np.uint64)
+        for i in long:
+            out[i] = xxhash.xxh3_64_intdigest(_LOWER[raw[starts[i] : ends[i]]].tobytes())
+        return out
+
+    def word_hashes(self, text: str) -> np.ndarray:
+        """The words' hashes in order, block by block; blocks end before white space."""
+        raw = np.frombuffer(text.encode(), np.uint8)
+        if len(raw) <= BLOCK:
+            return self._hash(raw)
+        out, start = [], 0
+        while start < len(raw):
+            end = min(start + BLOCK, len(raw))
+            if end < len(raw):
+                gaps = np.flatnonzero(_SPACE[raw[start + 1 : end + 1]])
+                if len(gaps):
+                    end = start + 1 + int(gaps[-1])
+                else:  # a word runs on past the block: white space may precede it only in this block's first byte
+                    while end < len(raw) and not (more := np.flatnonzero(_SPACE[raw[end : end + BLOCK]])).size:
+                        end = min(end + BLOCK, len(raw))
+                    if end < len(raw):
+                        end += int(more[0])
+            out.append(self._hash(raw[start:end]))
+            start = end
+        return np.concatenate(out)
 
     def shingles(self, text: str) -> np.ndarray:
         """The sorted distinct 64-bit hashes of the shingles; a text of fewer words is one shingle, one without words none."""
-        words = text.encode().translate(_LOWER).split()
+        w = self.word_hashes(text)
         k = self.setting.width
-        if not words:
-            return np.empty(0, np.uint64)
-        w = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        if not len(w):
+            return w
         n = max(1, len(w) - k + 1)
         h = np.full(n, min(len(w), k), np.uint64)
         for j in range(min(k, len(w))):
             h = (h * np.uint64(0x9E3779B97F4A7C15)) ^ w[j : j + n]
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
-        return np.unique(h ^ (h >> np.uint64(32)))
+        h ^= h >> np.uint64(32)
+        h.sort()
+        return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
     def registers(self, shingles: np.ndarray) -> np.ndarray:
         least = np.full(len(self.factors), np.iinfo(np.uint32).max, np.uint32)
