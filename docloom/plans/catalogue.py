@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import facets, graph, ranking, review, scoring, textops, validate
+from docloom.operators import facets, graph, layout, ranking, review, scoring, textops, validate
 from docloom.plans import oracles
 from docloom.session import table
 
@@ -28,6 +28,8 @@ PART_TERMS = [
     scoring.Term("bluebolt", ("blue", "bolt")),
     scoring.Term("hotgear", ("hot", "gear")),
 ]
+#: Labels that, as a document's best, keep it out.
+EXCEPTED = ("license",)
 RESOURCES = {"legal": ("license", "copyright"), "personal": ("@", "+"), "junk": ("***", "###", "%%%")}
 
 
@@ -302,6 +304,67 @@ def q58_manifest_sha256(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"))
 
 
+def q07_line_blocks(spark: SparkSession, d: str) -> DataFrame:
+    return layout.ordered_lines(table(spark, d, "documents"), "doc_id", "text")
+
+
+def q08_block_classify(spark: SparkSession, d: str) -> DataFrame:
+    return layout.html_blocks(table(spark, d, "pages"), "page_id", "html")
+
+
+def q27_exception_block(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", textops.match_key(F.col("text")).alias("key"))
+    scored = scoring.scores(docs, F.col("key"), LANGUAGE_TERMS, ["doc_id"])
+    top = scored.groupBy("doc_id").agg(F.min(F.struct((-F.col("score")).alias("minus"), "display_order", "label")).alias("t"), F.count("*").alias("n_terms"))
+    return top.filter(~F.col("t.label").isin(*EXCEPTED)).select("doc_id", F.col("t.label").alias("label"), (-F.col("t.minus")).alias("score"), "n_terms")
+
+
+def q45_adapter_rows(spark: SparkSession, d: str) -> DataFrame:
+    number = F.col("l_linenumber")
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.every(F.col("l_linestatus") == "F").alias("done"),
+        F.coalesce(F.min(F.when(F.col("l_returnflag") == "R", number)), F.min(F.when(F.col("l_returnflag") == "A", number)), F.min(number)).alias("preferred_line"),
+    )
+    rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    rows = rows.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return rows.select(
+        "o_orderkey",
+        F.lower(F.concat_ws(" ", "c_name", "c_mktsegment", "o_orderpriority", "o_orderstatus")).alias("search_text"),
+        F.when(F.col("done"), "reviewed").otherwise("needs_review").alias("review_status"),
+        "preferred_line",
+    )
+
+
+def q52_projection_validate(spark: SparkSession, d: str) -> DataFrame:
+    orders, lines = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    per_order = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.countDistinct("l_linenumber").alias("k"), F.min("l_linenumber").alias("lo"), F.max("l_linenumber").alias("hi"))
+    same = orders.o_orderkey == per_order.l_orderkey
+    assigned, unassigned = orders.join(per_order, same, "left_semi"), orders.join(per_order, same, "left_anti")
+    return validate.report(
+        [
+            validate.finding(assigned.intersect(unassigned), "error", "assigned_and_unassigned"),
+            validate.finding(unassigned, "warning", "unassigned"),
+            validate.finding(per_order.filter("n <> k"), "error", "line_key_repeated"),
+            validate.finding(per_order.filter("lo <> 1 or hi <> n"), "error", "lines_out_of_order"),
+        ]
+    )
+
+
+def q56_bbox_overlap(spark: SparkSession, d: str) -> DataFrame:
+    boxes = table(spark, d, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_returnflag",
+        F.col("l_quantity").alias("x0"),
+        (F.col("l_linenumber") * 10.0).alias("y0"),
+        (F.col("l_quantity") + 10.0).alias("x1"),
+        (F.col("l_linenumber") * 10.0 + 8.0).alias("y1"),
+    )
+    tables = layout.box_union(boxes.filter("l_returnflag = 'R'"), "l_orderkey")
+    met = boxes.alias("a").join(tables.alias("b"), "l_orderkey").filter(layout.covered_share("a", "b") >= 0.35)
+    return met.select("l_orderkey", "l_linenumber", *(F.col(f"b.{c}").alias(f"table_{c}") for c in ("x0", "y0", "x1", "y1")))
+
+
 def queries() -> dict[str, Query]:
     return {name: f for name, f in globals().items() if name[0] == "q" and name[1:3].isdigit()}
 

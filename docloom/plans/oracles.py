@@ -32,6 +32,37 @@ _SCORES = f"""scores as (
 _CLIP = "case when length({0}) > {1} then left({0}, {1} - 1) || '…' else {0} end"
 
 SQL = {
+    "q07_line_blocks": r"""with l as (
+  select doc_id, [y for y in [trim(regexp_replace(replace(replace(x, chr(160), ' '), chr(61440), '- '), '[ \t]+', ' ', 'g')) for x in string_split(text, chr(10))] if y <> ''] as l from documents
+), u as (select doc_id, unnest(range(0, len(l))) as i, unnest(l) as line from l)
+select doc_id, cast(100 + i as bigint) as line_order, line, line[1] = '|' and len(line) - len(replace(line, '|', '')) >= 2 as is_table,
+       regexp_full_match(line, '- ?[0-9]+ ?-') as is_footer from u""",
+    "q08_block_classify": r"""with e as (
+  select page_id, unnest(range(1, len(l) + 1)) as pos, unnest(l) as e from (select page_id, regexp_extract_all(html, '<(?:h1|li|p)(?: [^>]*)?>[^<]*') as l from pages)
+), t as (select page_id, pos, trim(substr(e, strpos(e, '>') + 1)) as text, regexp_extract(e, '^<([a-z0-9]+)', 1) as tag from e)
+select page_id, pos, text, case when tag = 'h1' or length(text) <= 12 then 'heading' when regexp_matches(text, '^\[[0-9]+\]') then 'citation'
+  when text ilike 'note%' or text like '*%' then 'note' when tag = 'li' or text like '-%' or text like '•%' then 'bullet' else 'paragraph' end as block_type from t""",
+    "q27_exception_block": f"""with {_SCORES}, r as (
+  select *, row_number() over (partition by doc_id order by score desc, display_order) as k, count(*) over (partition by doc_id) as n_terms from scores
+) select doc_id, label, score, n_terms from r where k = 1 and label <> 'license'""",
+    "q45_adapter_rows": """select o_orderkey, lower(c_name || ' ' || c_mktsegment || ' ' || o_orderpriority || ' ' || o_orderstatus) as search_text,
+  case when exists (select 1 from lineitem where l_orderkey = o_orderkey) and not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_linestatus <> 'F')
+       then 'reviewed' else 'needs_review' end as review_status, p.preferred_line
+from orders join customer on o_custkey = c_custkey left join (
+  select l_orderkey, arg_min(l_linenumber, case l_returnflag when 'R' then 0 when 'A' then 100 else 200 end + l_linenumber) as preferred_line from lineitem group by l_orderkey
+) p on p.l_orderkey = o_orderkey""",
+    "q52_projection_validate": """with g as (select l_orderkey, list(l_linenumber order by l_linenumber) as l from lineitem group by l_orderkey), f as (
+  select 'error' as level, 'assigned_and_unassigned' as code, count(*) as n from (
+    (select o_orderkey from orders where o_orderkey in (select l_orderkey from g)) intersect (select o_orderkey from orders where o_orderkey not in (select l_orderkey from g)))
+  union all select 'warning', 'unassigned', count(*) from orders where o_orderkey not in (select l_orderkey from g)
+  union all select 'error', 'line_key_repeated', count(*) from g where len(list_distinct(l)) <> len(l)
+  union all select 'error', 'lines_out_of_order', count(*) from g where l[1] <> 1 or l[-1] <> len(l)
+) select *, case when n = 0 then 'pass' when level = 'error' then 'fail' else 'warn' end as status from f""",
+    "q56_bbox_overlap": """with b as (select l_orderkey, l_linenumber, l_returnflag, l_quantity as x0, l_linenumber * 10.0::double as y0, l_quantity + 10 as x1, l_linenumber * 10.0::double + 8 as y1 from lineitem),
+t as (select l_orderkey, min(x0) as table_x0, min(y0) as table_y0, max(x1) as table_x1, max(y1) as table_y1 from b where l_returnflag = 'R' group by l_orderkey)
+select l_orderkey, l_linenumber, table_x0, table_y0, table_x1, table_y1 from b join t using (l_orderkey)
+where x0 < table_x1 and x1 > table_x0 and y0 < table_y1 and y1 > table_y0
+  and (least(x1, table_x1) - greatest(x0, table_x0)) * (least(y1, table_y1) - greatest(y0, table_y0)) >= 0.35 * 80""",
     "q01_matrix_policy_domain": f"with {_TERMS} select *, cast((200 * n_contents + max(n_contents) over ()) // (2 * max(n_contents) over ()) as bigint) as intensity from cells",
     "q02_facets_leave_one_out": """with r as (
   select o_orderkey, c_mktsegment as seg, o_orderstatus as st from orders join customer on o_custkey = c_custkey
