@@ -213,6 +213,15 @@ def test_pii_disclosing_terms(spark, odd):
     assert out.columns == odd.columns and out.count() == odd.count() and pii.sanitise(odd.limit(0)).count() == 0
 
 
+def test_pii_rare_entities(spark):
+    rows = [(1, "please ask Zoltan Quimby at zq@example.org for help"), (2, "please ask Ursula Vandermeer at uv@example.org for help"), (3, "again please mail Ursula Vandermeer at uv@example.org today")]
+    rows += [(100 + i, f"please ask people again at today mail desk for help {i}") for i in range(200)]
+    found = pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).filter("doc_id < 100").collect()
+    text = dict(rows)
+    terms = {r["doc_id"]: {text[r["doc_id"]][t["start"] : t["end"]] for t in r["terms"]} for r in found}
+    assert terms == {1: {"Zoltan", "Quimby"}, 2: {"Ursula", "Vandermeer"}, 3: {"Ursula", "Vandermeer"}}
+
+
 # 7
 
 
