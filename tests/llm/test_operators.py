@@ -222,6 +222,15 @@ def test_pii_rare_entities(spark):
     assert terms == {1: {"Zoltan", "Quimby"}, 2: {"Ursula", "Vandermeer"}, 3: {"Ursula", "Vandermeer"}}
 
 
+def test_pii_terms_throughout(spark):
+    far = "please ask people for help again today " * 40
+    rows = [(1, f"ask Kim Li room 4711 or 김철수 at kl@example.org {far} yours Kim Li, 4711 or 김철수, zq"), (2, f"{far} Kim again")]
+    rows += [(100 + i, f"{far} {i} at mail or yours room") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = {r["doc_id"]: [dict(rows)[r["doc_id"]][t["start"] : t["end"]] for t in r["terms"]] for r in pii.personal_data(df).collect() if r["terms"]}
+    assert terms == {1: ["Kim", "Li", "4711", "김철수"] * 2}
+
+
 # 7
 
 
