@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,9 +16,23 @@ def line_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(id_col, F.posexplode(F.split(text_col, "\n")).alias("p", "line")).select(id_col, (F.col("p") + 1).cast("long").alias("pos"), "line")
 
 
+#: A text of these characters alone is in NFKC already: ASCII, Latin letters, dashes, quotes, the euro, CJK and whole Hangul syllables.
+_NORMAL = "\\x00-\\x7F\u00a1-\u00a7\u00a9\u00ab-\u00ae\u00b0\u00b1\u00b6\u00b7\u00bb\u00bf-\u0131\u0152\u0153\u2012-\u2015\u2018-\u2022\u20ac\u4e00-\u9fff\uac00-\ud7a3"
+
+
+def _nfkc(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
+
+
+def nfkc(text: Column) -> Column:
+    """The text in NFKC; what is so by its characters alone doesn't go through Python."""
+    other = text.rlike(f"[^{_NORMAL}]")
+    return F.when(other, F.pandas_udf(_nfkc, "string")(F.when(other, text))).otherwise(text)
+
+
 def match_key(text: Column) -> Column:
-    """Lower case without white space."""
-    return F.regexp_replace(F.lower(text), r"\s+", "")
+    """NFKC in lower case without white space."""
+    return F.regexp_replace(F.lower(nfkc(text)), r"\s+", "")
 
 
 def short(line: Column) -> Column:
