@@ -1,12 +1,18 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
-Each match of the pattern is merged on its own.  Its adjacent pairs that have a
-rank lie in buckets, one per rank, which hold positions in a linked list of
-parts.  Which buckets are in use is kept in a bitmap of three levels of 64-bit
-words; find-first-set on each level gives the lowest rank in use.  Merging a
-pair leaves the entries of its old neighbours in their buckets; such stale
-entries are recognised and skipped when they come up.  A merge thus costs the
-same however long the match is.
+Each match of the pattern is merged on its own.  Adjacent pairs of parts that
+have a rank lie in buckets, one per rank, which hold positions in a linked list
+of parts.  Which buckets are in use is kept in a bitmap of three levels of
+64-bit words; find-first-set on each level gives the lowest rank in use.
+Merging a pair leaves the entries of its old neighbours in their buckets; such
+stale entries are recognised and skipped when they come up.
+
+A very long match has a queue of its own (``Codec.merge``), in which a merge
+costs the same however long the match is.  The short matches that a worker
+hasn't met yet share one queue (``Codec.merge_all``): they lie one after the
+other in one linked list, whose links end where a match ends, and a bucket is
+taken once for all of them.  No merge crosses a match's end, so each match is
+merged in its own order: lowest rank first, leftmost among equals.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +29,16 @@ from pyspark.sql import DataFrame
 
 from docloom.llm.common import id_and_text, proven_split, texts
 
-#: Encoded matches that a worker keeps, and the longest match it keeps.
-CACHE_ENTRIES, CACHE_CHARS = 700_000, 32
+#: Bytes that a worker's cache of encoded matches may take (estimated), and the longest match that it keeps, in characters.
+CACHE_BYTES, CACHE_CHARS = 96 << 20, 32
+#: Bytes of a cached match beside its characters and ids: string, bytes object and place in the dictionary.
+ENTRY_BYTES = 180
 #: Characters of a long text that are matched at once.
 PIECE_CHARS = 1 << 20
+#: Characters of texts whose new matches are merged in one queue, and ids put out in one batch.
+GROUP_CHARS, OUT_IDS = 8 << 20, 1 << 19
+#: Buckets of up to so many positions are merged one by one.
+FEW = 6
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -35,7 +48,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """A queue of (rank, position) with the lowest rank first, and the first position among equals.
+    """A queue of (rank, position) with the lowest rank first.
 
     ``low``, ``mid`` and ``top`` are the bitmap's levels: bit r of ``low`` says
     that bucket r has entries, each bit above says that the word below isn't 0.
@@ -45,12 +58,13 @@ class RankQueue:
 
     def __init__(self, n_ranks: int):
         words = (n_ranks >> 6) + 1
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: dict[int, list] = {}
         self.low = [0] * words
         self.mid = [0] * ((words >> 6) + 1)
         self.top = 0
 
-    def push(self, rank: int, position: int) -> None:
+    def push(self, rank: int, position) -> None:
+        """Add an entry: a position or an array of positions."""
         bucket = self.buckets.get(rank)
         if bucket is None:
             self.buckets[rank] = [position]
@@ -71,7 +85,7 @@ class RankQueue:
         x = self.low[w]
         return (w << 6) + (x & -x).bit_length() - 1
 
-    def take(self, rank: int) -> list[int]:
+    def take(self, rank: int) -> list:
         """Remove and return a bucket."""
         w, v = rank >> 6, rank >> 12
         self.low[w] ^= 1 << (rank & 63)
@@ -83,9 +97,9 @@ class RankQueue:
 
 
 class Codec:
-    """Encodes and decodes by the ranks of one file; made once a worker."""
+    """Encodes and decodes by the ranks of one file; made once a worker process."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cache_bytes: int = CACHE_BYTES):
         import regex
 
         self.pattern = regex.compile(pattern)
@@ -95,7 +109,11 @@ class Codec:
         self.vocabulary: list[bytes] = [b""] * self.n_ranks
         for token, rank in ranks.items():
             self.vocabulary[rank] = token
-        self.cache = _Cache(self)
+        self.cache: dict[str, bytes] = {}
+        self.cache_bytes, self.cached = cache_bytes, 0
+        self.pairs: dict[int, int] | None = None
+
+    # one long match
 
     def merge(self, data: bytes) -> list[int]:
         """The ids of one match."""
@@ -152,26 +170,174 @@ class Codec:
             i = ends[i]
         return out
 
-    def packed(self, match: str) -> bytes:
-        """The ids of one match as little-endian unsigned 32-bit integers."""
-        ids = self.merge(match.encode())
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def encode_blocks(self, text: str, piece: int = PIECE_CHARS) -> Iterator[bytes]:
-        """Packed ids of a whole text, block by block; blocks end where the pattern must split."""
+    # many short matches
+
+    def _pairs(self) -> None:
+        """Ranks by pair of ids: each token by each of its splits into two tokens."""
+        n = self.n_ranks
+        self.pairs = {}
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
+                if a is not None and b is not None:
+                    self.pairs[a * n + b] = rank
+        self.pair_keys = np.array(sorted(self.pairs), np.int64)
+        self.pair_ranks = np.array([self.pairs[int(k)] for k in self.pair_keys], np.int32)
+        self.of_byte = np.array([self.ranks.get(bytes([x]), -1) for x in range(256)], np.int64)
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.n_ranks + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
+    def _push_all(self, ranks: np.ndarray, positions: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        ranks, positions = ranks[order], positions[order]
+        edges = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        for rank, part in zip(ranks[np.concatenate(([0], edges))].tolist(), np.split(positions, edges), strict=True):
+            self.queue.push(rank, part)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The packed ids of each match, all merged in one queue."""
+        if self.pairs is None:
+            self._pairs()
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        n = len(raw)
+        starts = np.cumsum(sizes) - sizes
+        of = np.repeat(np.arange(len(words)), sizes)
+        ids = self.of_byte[raw]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[starts + sizes - 1] = -1
+        before[starts] = -1
+        here = np.ones(n, bool)
+        due = np.full(n, -1, np.int64)  # the rank of the pair that begins here: an entry of another rank is stale
+        if len(self.pair_keys) and n > 1:
+            inner = np.flatnonzero(after >= 0)
+            due[inner] = self._rank_of(ids[inner], ids[inner + 1])
+            some = np.flatnonzero(due >= 0)
+            if len(some):
+                self._push_all(due[some], some)
+        queue = self.queue
+        one = ids.data, after.data, before.data, here.data, due.data
+        while (rank := queue.first()) >= 0:
+            entries = queue.take(rank)
+            at = entries[0] if len(entries) == 1 and not isinstance(entries[0], int) else np.concatenate([np.atleast_1d(x) for x in entries])
+            at = at[due[at] == rank]  # stale entries go
+            if len(at) == 0:
+                continue
+            if len(at) > 1:
+                at = np.unique(at)
+                first = np.ones(len(at), bool)
+                first[1:] = of[at[1:]] != of[at[:-1]]
+                if not first.all():  # only the leftmost of each match: it may bring up a lower rank, which then goes first
+                    queue.push(rank, at[~first])
+                    at = at[first]
+            if len(at) <= FEW:
+                self._merge_few(rank, at.tolist(), *one)
+            else:
+                self._merge_bucket(rank, at, ids, after, before, here, due)
+        ends = np.cumsum(np.add.reduceat(here, starts, dtype=np.int64)) * 4
+        packed = ids[here].astype("<u4").tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+    def _merge_few(self, rank, at, ids, after, before, here, due) -> None:
+        get, push, n = self.pairs.get, self.queue.push, self.n_ranks
+        for i in at:
+            j = after[i]
+            k = after[j]
+            ids[i], after[i], here[j], due[j], due[i] = rank, k, False, -1, -1
+            if k >= 0:
+                before[k] = i
+                if (r := get(rank * n + ids[k])) is not None:
+                    due[i] = r
+                    push(r, i)
+            if (p := before[i]) >= 0:
+                if (r := get(ids[p] * n + rank)) is not None:
+                    due[p] = r
+                    push(r, p)
+                else:
+                    due[p] = -1
+
+    def _merge_bucket(self, rank, i, ids, after, before, here, due) -> None:
+        j = after[i]
+        k = after[j]
+        ids[i], after[i], here[j], due[j], due[i] = rank, k, False, -1, -1
+        right = k >= 0
+        before[k[right]] = i[right]
+        r_right = self._rank_of(ids[i[right]], ids[k[right]])
+        due[i[right]] = r_right
+        p = before[i]
+        left = p >= 0
+        r_left = self._rank_of(ids[p[left]], ids[i[left]])
+        due[p[left]] = r_left
+        ranks, at = np.concatenate((r_right, r_left)), np.concatenate((i[right], p[left]))
+        some = ranks >= 0
+        if some.any():
+            self._push_all(ranks[some], at[some])
+
+    # texts
+
+    def _learn(self, matches: set[str]) -> dict[str, bytes]:
+        """The packed ids of matches that aren't cached; what is short enough is cached."""
+        got, short, rest = {}, [], []
+        for m in matches:
+            data = m.encode()
+            if (whole := self.ranks.get(data)) is not None:
+                got[m] = struct.pack("<I", whole)
+            elif len(m) <= CACHE_CHARS:
+                short.append(m)
+                rest.append(data)
+            else:
+                got[m] = np.array(self.merge(data), "<u4").tobytes()
+        if short:
+            got.update(zip(short, self.merge_all(rest), strict=True))
+        for m, ids in got.items():
+            if len(m) <= CACHE_CHARS:
+                self.cache[m] = ids
+                self.cached += ENTRY_BYTES + len(m) + len(ids)
+        while self.cached > self.cache_bytes:  # the older half goes
+            for m in list(islice(self.cache, (len(self.cache) + 1) // 2)):
+                self.cached -= ENTRY_BYTES + len(m) + len(self.cache.pop(m))
+        return got
+
+    def _parts(self, text: str, piece: int) -> Iterator[str]:
+        """The text in parts that end where the pattern must split."""
         start, n = 0, len(text)
         while start < n:
-            end = n
-            wide = piece
+            end, wide = n, piece
             while start + wide < n:
                 end = proven_split(text, start, start + wide)
                 if end > 0:
                     break
                 end, wide = n, wide * 2
-            part = text if end - start == n else text[start:end]
-            yield b"".join(map(self.cache.__getitem__, self.pattern.findall(part)))
+            yield text if end - start == n else text[start:end]
             start = end
 
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """The packed ids of each text; the new matches of all are merged in one queue."""
+        found, missed = [], set()
+        for text in texts:
+            matches = self.pattern.findall(text)
+            ids = list(map(self.cache.get, matches))
+            if None in ids:
+                gaps = [i for i, x in enumerate(ids) if x is None]
+                names = [matches[i] for i in gaps]
+                missed.update(names)
+                found.append((ids, gaps, names))
+            else:
+                found.append((b"".join(ids), (), ()))
+        new = self._learn(missed) if missed else {}
+        for ids, gaps, names in found:
+            for i, m in zip(gaps, names, strict=True):
+                ids[i] = new[m]
+            yield b"".join(ids) if gaps else ids
+
+    def encode_blocks(self, text: str, piece: int = PIECE_CHARS) -> Iterator[bytes]:
+        """Packed ids of a whole text, block by block."""
+        for part in self._parts(text, piece):
+            yield from self.encode_all([part])
+
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(b"".join(self.encode_blocks(text)), dtype="<u4").tolist()
 
@@ -179,20 +345,64 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, ids))
 
 
-class _Cache(dict):
-    """Packed ids by match; short matches are kept, to a fixed number."""
-
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec = codec
-
-    def __missing__(self, match: str) -> bytes:
-        out = self.codec.packed(match)
-        if len(match) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-            self[match] = out
-        return out
+_CODECS: dict[tuple[str, str], Codec] = {}
+
+
+def codec_of(ranks_path: str, pattern: str) -> Codec:
+    """This process's codec: a worker keeps it, and its cache, from task to task."""
+    key = ranks_path, pattern
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = Codec(load_ranks(ranks_path), pattern)
+    return _CODECS[key]
+
+
+def _grouped(ts: list[str], most: int) -> Iterator[list[str]]:
+    """Runs of texts of up to ``most`` characters; a longer text is a run of its own."""
+    held, chars = [], 0
+    for t in ts:
+        if held and chars + len(t) > most:
+            yield held
+            held, chars = [], 0
+        held.append(t)
+        chars += len(t)
+    if held:
+        yield held
+
+
+class _Out:
+    """Rows of the result, put into batches."""
+
+    def __init__(self, ids: pa.Array, with_ids: bool):
+        self.doc, self.with_ids, self.done = ids, with_ids, 0
+        self.rows: list[tuple] = []
+        self.held = 0
+
+    def add(self, blocks: Iterator[bytes], codec: Codec) -> None:
+        count, of_ids, of_bytes, kept, pieces = 0, hashlib.sha256(), hashlib.sha256(), [], []
+        for block in blocks:
+            of_ids.update(block)
+            decoded = codec.decode(np.frombuffer(block, dtype="<u4").tolist())
+            of_bytes.update(decoded)
+            count += len(block) // 4
+            if self.with_ids:
+                kept.append(block)
+                pieces.append(decoded)
+        self.rows.append((count, of_ids.hexdigest(), of_bytes.hexdigest(), b"".join(kept), b"".join(pieces)))
+        self.held += count
+
+    def batch(self) -> pa.RecordBatch:
+        n = len(self.rows)
+        columns = [self.doc.slice(self.done, n), *(pa.array([r[i] for r in self.rows], t) for i, t in enumerate((pa.int64(), pa.string(), pa.string())))]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if self.with_ids:
+            ends = np.cumsum([0] + [r[0] for r in self.rows])
+            flat = np.frombuffer(b"".join(r[3] for r in self.rows), "<i4")
+            columns += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())), pa.array([r[4].decode("utf-8", "replace") for r in self.rows], pa.string())]
+            names += ["ids", "decoded"]
+        self.done += n
+        self.rows, self.held = [], 0
+        return pa.RecordBatch.from_arrays(columns, names)
 
 
 def encode_decode(
@@ -208,37 +418,27 @@ def encode_decode(
     ``with_ids`` adds the ids themselves, ``ids array<int>``, and the decoded
     text, ``decoded string``.  A null text is the empty text: no ids, the hash
     of no bytes.  A null id stays null; repeated rows are each encoded; an
-    empty table gives an empty table; other columns are ignored.  The hashes
-    are fed block by block, so a long text needs the memory of one block only.
+    empty table gives an empty table; other columns are ignored.
+
+    Memory of a worker: a batch of texts, its matches' places, a cache of
+    ``CACHE_BYTES``, and the packed ids of up to ``OUT_IDS`` ids or one
+    document.  Without ``with_ids`` a long text's ids are held block by block.
     """
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = None
         for batch in it:
-            codec = codec or Codec(load_ranks(ranks_path), pattern)
-            n, a, b, ids, back = [], [], [], [], []
-            for text in texts(batch):
-                count, of_ids, of_bytes, kept, pieces = 0, hashlib.sha256(), hashlib.sha256(), [], []
-                for block in codec.encode_blocks(text):
-                    of_ids.update(block)
-                    found = np.frombuffer(block, dtype="<u4").tolist()
-                    decoded = codec.decode(found)
-                    of_bytes.update(decoded)
-                    count += len(found)
-                    if with_ids:
-                        kept += found
-                        pieces.append(decoded)
-                n.append(count)
-                a.append(of_ids.hexdigest())
-                b.append(of_bytes.hexdigest())
-                ids.append(kept)
-                back.append(b"".join(pieces).decode("utf-8", "replace"))
-            columns = [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_ids:
-                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())]
-                names += ["ids", "decoded"]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            codec, out = codec_of(ranks_path, pattern), _Out(batch.column("doc_id"), with_ids)
+            for group in _grouped(texts(batch), GROUP_CHARS):
+                if len(group) == 1:
+                    encoded = [codec.encode_blocks(group[0])]
+                else:
+                    encoded = ([x] for x in codec.encode_all(group))
+                for blocks in encoded:
+                    out.add(blocks, codec)
+                    if out.held >= OUT_IDS:
+                        yield out.batch()
+            if out.rows:
+                yield out.batch()
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
