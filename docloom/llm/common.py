@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bits of a Bloom filter: its size is fixed whatever the input, so it may be broadcast.
-BLOOM_BITS = 1 << 25
+#: Least and most bits of a Bloom filter, and bits a key: it is never larger than 32 MB, so it may be broadcast.
+LEAST_BITS, MOST_BITS, KEY_BITS = 1 << 20, 1 << 28, 24
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -65,13 +65,18 @@ def blocks(it: Iterable[list], size: int) -> Iterator[list]:
         yield held
 
 
-def bloom_of(df: DataFrame, key_hash: str, bits: int = BLOOM_BITS) -> np.ndarray:
+def bloom_of(df: DataFrame, key_hash: str, most_bits: int = MOST_BITS) -> np.ndarray:
     """A Bloom filter with two probes over a column of 64-bit hashes, as 64-bit words.
 
-    It is aggregated on the executors; at most ``bits / 64`` words come to the
-    driver, however many keys there are.  More keys only mean more false
-    positives, which every user of the filter removes by an exact join.
+    Its size follows the number of keys, up to ``most_bits``.  It is aggregated
+    on the executors; at most ``most_bits / 64`` words come to the driver,
+    however many keys there are.  Beyond ``most_bits / KEY_BITS`` keys there are
+    more false positives, which every user of the filter removes by an exact join.
     """
+    bits = LEAST_BITS
+    keys = df.count()
+    while bits < most_bits and bits < KEY_BITS * keys:
+        bits *= 2
     word = F.explode(
         F.array(
             F.expr(f"pmod({key_hash}, {bits})"),

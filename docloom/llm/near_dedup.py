@@ -9,12 +9,14 @@ and sizes the similarity is estimated by maximum likelihood; candidates that
 may reach the threshold are confirmed on the full sets.
 
 Documents of equal sets are one class.  Within a band's bucket not all pairs
-are tried: a few pivots are compared with all members, what is found is joined
-to components, and only members of other components than the pivots' go on to
-the next round, with more pivots, until no bucket holds two members of
-different components that haven't been compared.  So no link between buckets'
-members that could join two components is lost, and a large group of near
-copies costs a few comparisons a member.
+are written out.  First a few pivots of each bucket are compared with all its
+members, which joins the bulk of a group of near copies into one component.
+Then the buckets that still hold members of different components are settled:
+registers and sets of the members that weren't pivots lie side by side in a
+task, where each member outside the bucket's largest component is compared with
+all members of other components, by registers, then exactly; only links that
+join components leave the task.  A bucket of very many members, or of very long
+sets, is dealt out in pairs of blocks, so a task holds two blocks at most.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -37,10 +40,12 @@ from docloom.llm.components import components
 BASE, RATE, TOP = 1.02, 20.0, 4_000
 #: Bytes of a text whose words are hashed at once, the longest word hashed with others, shingles multiplied at once.
 BLOCK, LONG_WORD, CHUNK = 1 << 16, 64, 512
-#: How far below the threshold an estimate rules a candidate out: over seven standard deviations of 192 registers.
-MARGIN = 0.2
-#: Pivots of a bucket in the first round, and how many times as many in each next one; members that a copy of a pivot meets in a join.
-PIVOTS, MORE, MEETS = 4, 16, 256
+#: How far below the threshold an estimate rules a candidate out: over five standard deviations of 192 registers.
+MARGIN = 0.15
+#: Pivots of a bucket; members that a copy of a pivot meets in a join.
+PIVOTS, MEETS = 4, 256
+#: Members, and shingles of all members, of a block of a bucket.
+BLOCK_MEMBERS, BLOCK_SHINGLES = 1_024, 1 << 20
 
 _SPACE = np.isin(np.arange(256), [*range(9, 14), 32])
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
@@ -180,6 +185,24 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.take_along_axis(j, (parts[0] + parts[1] + parts[2]).argmax(1)[:, None], 1)[:, 0]
 
 
+def reaches(same: np.ndarray, more: np.ndarray, less: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, at: float) -> np.ndarray:
+    """Whether the likeliest similarity is at least ``at``.
+
+    The likelihood is concave in the similarity, so it is enough that it still
+    grows there; sizes under which ``at`` is out of reach don't come here.
+    """
+    scale = (BASE - 1) / BASE
+    u = n_a / (n_a + n_b)
+    v = 1 - u
+    x, y = scale * (u - v * at), scale * (v - u * at)
+    log_base = math.log(BASE)
+    up, down = -np.log1p(-x) / log_base, -np.log1p(-y) / log_base
+    d_up, d_down = -v * scale / (1 - x) / log_base, -u * scale / (1 - y) / log_base
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slope = more * d_up / np.maximum(up, 1e-12) + less * d_down / np.maximum(down, 1e-12) - same * (d_up + d_down) / (1 - up - down)
+    return slope >= 0
+
+
 def sketch(df: DataFrame, setting: Setting, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, n_shingles, set_hash, bands), one per row; an empty set has no hash and no bands."""
 
@@ -290,47 +313,106 @@ def _confirm(pairs: DataFrame, pivots: DataFrame, sets: DataFrame, percent: int)
     return beside(likely, "shingles").select("a", "b", "s_a", "s_b").mapInArrow(lambda it: _alike(it, percent), "a long, b long")
 
 
+def settle(cell: dict[str, np.ndarray], registers: np.ndarray, shingles: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that join components among a cell's members, exact; at least enough of them to join all that links can join.
+
+    ``cell`` has by member: rep, component, n, outer (not of the bucket's
+    largest component), block.  Pairs of members of one block are compared
+    where the cell has one block, else pairs of its two.
+    """
+    component, n, outer, block = cell["component"].copy(), cell["n"].astype(np.float64), cell["outer"], cell["block"]
+    two = len(np.unique(block)) > 1
+    sizes = np.array([len(x) for x in shingles])
+    starts = np.cumsum(sizes) - sizes
+    every = np.concatenate(shingles)
+    _, flat = np.unique(every, return_inverse=True)
+    held = np.zeros(int(flat.max()) + 1, np.int32)
+    member = np.arange(len(n))
+    out = []
+    for i in np.flatnonzero(outer):
+        # of two outer members the later one meets the earlier one
+        meets = (component != component[i]) & (~outer | (member < i)) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+        if two:
+            meets &= block != block[i]
+        rest = np.flatnonzero(meets)
+        if not len(rest):
+            continue
+        near = registers[rest]
+        more, less = (near < registers[i]).sum(1), (near > registers[i]).sum(1)
+        # at the margin the sizes allow the similarity: it is below the threshold that they were held against
+        rest = rest[reaches(registers.shape[1] - more - less, more, less, n[i], n[rest], percent / 100 - MARGIN)]
+        if not len(rest):
+            continue
+        own = flat[starts[i] : starts[i] + sizes[i]]
+        held[own] = 1
+        if 4 * len(rest) >= len(n):
+            both = np.add.reduceat(held[flat], starts)[rest]
+        else:
+            both = np.array([held[flat[starts[j] : starts[j] + sizes[j]]].sum() for j in rest])
+        held[own] = 0
+        linked = rest[100 * both >= percent * (sizes[i] + sizes[rest] - both)]
+        for j in linked:
+            if component[j] != component[i]:
+                out.append((int(cell["rep"][i]), int(cell["rep"][j])))
+                component[component == component[j]] = component[i]
+    return out
+
+
+def _settled(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join components within buckets.  ``rest``: (bucket, rep, n, component) of the buckets' members still to compare."""
+    by_component = rest.groupBy("bucket", "component").agg(F.count("*").alias("m"), F.sum("n").alias("sh"))
+    mixed = (
+        by_component.groupBy("bucket")
+        .agg(F.count("*").alias("k"), F.sum("m").alias("m"), F.sum("sh").alias("sh"), F.max(F.struct("m", "component")).alias("largest"))
+        .filter("k > 1")
+        .select("bucket", F.col("largest.component").alias("largest"), F.expr(f"cast(greatest(ceil(m / {BLOCK_MEMBERS}), ceil(sh / {BLOCK_SHINGLES})) as long)").alias("blocks"))
+    )
+    dealt = (
+        rest.join(mixed, "bucket")
+        .withColumn("block", F.expr("pmod(xxhash64(rep, 3L), blocks)"))
+        .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+        .select("bucket", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "rep", "component", (F.col("component") != F.col("largest")).alias("outer"))
+    )
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(pdf) > 1 and pdf["outer"].any() and pdf["component"].nunique() > 1:
+            pdf = pdf.sort_values("rep")
+            registers = np.frombuffer(b"".join(pdf["registers"]), np.uint16).reshape(len(pdf), -1)
+            cell = {c: pdf[c].to_numpy() for c in ("rep", "component", "n", "outer", "block")}
+            found = settle(cell, registers, [np.frombuffer(x, np.uint64) for x in pdf["shingles"]], percent)
+        return pd.DataFrame({"a": [a for a, _ in found], "b": [b for _, b in found]}, dtype=np.int64)
+
+    return dealt.join(sets, "rep").groupBy("bucket", "lo", "hi").applyInPandas(run, "a long, b long")
+
+
 def _link(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
     """(id, component) of the classes that are linked; None if there are none."""
-    labels, edges, spent, pivots = None, None, None, PIVOTS
-    while True:
-        open_ones = members
-        if spent is not None:  # a pivot has met all others of its bucket
-            open_ones = open_ones.join(spent, ["bucket", "rep"], "left_anti")
-        if labels is None:
-            open_ones = open_ones.withColumn("component", F.col("rep"))
-        else:
-            open_ones = open_ones.join(labels.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        sizes = open_ones.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        mixed = sizes.groupBy("bucket").agg(F.count("*").alias("k"), F.sum("n").alias("size"), F.max(F.struct("n", "component")).alias("largest")).filter("k > 1")
-        open_ones = materialise(open_ones.join(mixed.select("bucket", "size", F.col("largest.component").alias("largest")), "bucket"))
-        if open_ones.isEmpty():
-            return labels
-        # pivots come from all but the bucket's largest component: one from each of a number of parts
-        chosen = (
-            open_ones.filter("component <> largest")
-            .groupBy("bucket", F.expr(f"pmod(xxhash64(rep, 9L), {pivots})").alias("part"))
-            .agg(F.min(F.struct("rep", "component", "n")).alias("p"), F.max("size").alias("size"))
-            .select("bucket", F.col("p.rep").alias("a"), F.col("p.component").alias("of_a"), F.col("p.n").alias("n_a"), "size")
-        )
-        # a pivot stands in at most as many buckets as there are bands
-        chosen = materialise(chosen.withColumn("copies", F.ceil(F.max("size").over(Window.partitionBy("a")) / MEETS)).drop("size"))
-        pairs = (
-            open_ones.drop("size")
-            .join(chosen, "bucket")
-            # sets of too different sizes can't reach the threshold
-            .filter(f"component <> of_a and 100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
-            .select("a", F.col("rep").alias("b"), "copies")
-            .distinct()
-            .withColumn("copy", F.expr("pmod(xxhash64(b), copies)"))
-        )
-        found = materialise(_confirm(pairs, chosen.select("a", "copies").distinct(), sets, percent))
-        edges = found if edges is None else edges.unionByName(found)
-        if not found.isEmpty():
-            labels = materialise(components(edges))
-        met = chosen.select("bucket", F.col("a").alias("rep"))
-        spent = met if spent is None else spent.unionByName(met)
-        pivots *= MORE
+    # pivots of a bucket: one from each of a number of parts
+    chosen = (
+        members.groupBy("bucket", F.expr(f"pmod(xxhash64(rep, 9L), {PIVOTS})").alias("part"))
+        .agg(F.min(F.struct("rep", "n")).alias("p"), F.count("*").alias("m"))
+        .select("bucket", F.col("p.rep").alias("a"), F.col("p.n").alias("n_a"), "m")
+    )
+    # a pivot stands in at most as many buckets as there are bands
+    chosen = materialise(chosen.withColumn("copies", F.ceil(PIVOTS * F.max("m").over(Window.partitionBy("a")) / MEETS)).drop("m"))
+    pairs = (
+        members.join(chosen, "bucket")
+        # sets of too different sizes can't reach the threshold
+        .filter(f"rep <> a and 100 * least(n, n_a) >= {percent} * greatest(n, n_a)")
+        .select("a", F.col("rep").alias("b"), "copies")
+        .distinct()
+        .withColumn("copy", F.expr("pmod(xxhash64(b), copies)"))
+    )
+    edges = materialise(_confirm(pairs, chosen.select("a", "copies").distinct(), sets, percent))
+    labels = materialise(components(edges))
+    # a pivot has met all others of its bucket
+    rest = members.join(chosen.select("bucket", F.col("a").alias("rep")), ["bucket", "rep"], "left_anti").join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+    rest = materialise(rest.withColumn("component", F.coalesce("component", "rep")))
+    more = materialise(_settled(rest, sets, percent))
+    if more.isEmpty():
+        return None if labels.isEmpty() else labels
+    return materialise(components(edges.unionByName(more)))
 
 
 def near_duplicates(df: DataFrame, setting: Setting = Setting(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

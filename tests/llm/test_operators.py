@@ -52,13 +52,21 @@ def test_token_counts(spark, docs, odd):
 
 
 def test_overlap_widens():
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    counter = token_count.Counter(public_tokenizers.path("byte_bpe_50k.json"))
     widened = []
     text = "word " * 100 + "é" * 900 + " tail " * 50
-    assert token_count.count_chunked(t, text, 200, 64, widened) == len(t.encode(text).ids)
-    assert widened
+    assert "".join(x for part in token_count.chunks_of(text, 200, 64, widened) for x in part) == text
+    assert token_count.count_chunked(counter, text, 200, 64) == len(counter.tokenizer.encode(text).ids)
+    assert len(widened) == 1
+
+
+def test_boundaries_are_proven():
+    counter = token_count.Counter(public_tokenizers.path("byte_bpe_50k.json"), 128, 64, cache_bytes=20_000)
+    rng = np.random.default_rng(8)
+    for alphabet in ("aé中文。， \n'sdt!?019\t\r", "a \xa0\u3000\n.\x1c\x0b\x85\u180e'", "ab' \n中。あ，가"):
+        ts = ["".join(rng.choice(list(alphabet), n)) + "<|endoftext|>" * (n % 3) for n in rng.integers(0, 700, 400)]
+        assert counter.counts(ts) == [len(counter.tokenizer.encode(t, add_special_tokens=False).ids) for t in ts]
+    assert counter.cached <= 20_000
 
 
 # 2
@@ -93,6 +101,16 @@ def test_bpe_long_matches(library):
     assert list(codec.encode_blocks("one two three " * 50, piece=20))
 
 
+def test_bpe_batches(library):
+    codec = byte_bpe.Codec(byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN, cache_bytes=100_000)
+    rng = np.random.default_rng(5)
+    for alphabet in ("ab", "aeinrst ", "é中x \n", "a", "the and ing'sß"):
+        ts = ["".join(rng.choice(list(alphabet), n)) for n in rng.integers(0, 60, 3000)]
+        got = [np.frombuffer(x, "<u4").tolist() for x in codec.encode_all(ts)]
+        assert got == [library.encode_ordinary(t) for t in ts]
+        assert codec.cached <= 100_000 and codec.cached == sum(byte_bpe.ENTRY_BYTES + len(k) + len(v) for k, v in codec.cache.items())
+
+
 # 3
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -302,6 +320,39 @@ def test_near_dedup_chains(spark):
     assert {i: got[i] for i in want} == want and all(got[2000 + i] == want[1000] for i in range(300))
 
 
+def test_near_dedup_families(spark, monkeypatch):
+    """Copies of one base at similarities around and below the threshold, dealt out in blocks."""
+    rng = np.random.default_rng(2)
+    base = [f"w{x}" for x in rng.integers(0, 10**6, 150)]
+    rows = []
+    for i in range(500):
+        words = list(base)
+        for k in rng.choice(150, int(rng.integers(1, 9)), replace=False):
+            words[k] = f"v{int(rng.integers(0, 10**6))}"
+        rows.append((int(5000 - i), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: shingle_set(t) for i, t in rows}
+    want = brute_components(sorted(sets), lambda a, b: 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    assert 1 < len(set(want.values())) < 490
+    for members in (1024, 60):
+        monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", members)
+        assert {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(df, SHORT).collect()} == want
+
+
+def test_likelihood():
+    """The slope of the likelihood tells on which side of a similarity its greatest value lies."""
+    sketcher = near_dedup.Sketcher(SHORT)
+    rng = np.random.default_rng(3)
+    for shared in (10, 120, 150, 170, 190):
+        words = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+        a, b = (sketcher.registers(x)[None] for x in (words[:200], words[200 - shared : 400 - shared]))
+        n = np.array([200.0])
+        likeliest = near_dedup.estimate(a, b, n, n)[0]
+        for at in (0.3, 0.7, 0.75, 0.9):
+            if abs(likeliest - at) > 0.02:
+                assert near_dedup.reaches((a == b).sum(1), (a > b).sum(1), (a < b).sum(1), n, n, at)[0] == (likeliest > at)
+
+
 # 9
 
 
