@@ -4,11 +4,13 @@ Vectors are scaled to length 1; a cosine of at least ``threshold`` is then a
 distance of at most R = sqrt(2 - 2 threshold).  Coarse centroids make inverted
 lists, and a vector's residual to its list's centroid is coded by one of 256
 centroids in each of eight subspaces.  Every row is indexed and every row is a
-query: it looks into its own list and into every list whose border is near
-enough that a vector within R may lie beyond it.  In a list the distances to
-the codes are sums of looked-up values; a vector whose approximate distance
-exceeds R by more than its own coding error can't be a partner; the rest are
-compared exactly, in double precision.
+query: it looks into its own list and into every list whose border is at most
+R / 2 away.  Two partners in different lists lie on either side of the border
+between these, so their distances to it add up to at most R and one of them
+looks into the other's list: no link is lost.  In a list the distances to the
+codes are sums of looked-up values; a vector whose approximate distance exceeds
+R by more than its own coding error can't be a partner; the rest are compared
+exactly, in double precision.
 
 Identical vectors are one class with a count.  Links inside a list are counted
 and reduced to a spanning forest where they are found, so pairs are never
@@ -34,9 +36,7 @@ from docloom.llm.components import components
 
 THRESHOLD = 0.93
 #: Vectors that centroids are fitted on, most lists, subspaces, codes of a subspace, rounds of k-means.
-SAMPLE, LISTS, SUBSPACES, CODES, ROUNDS = 16_384, 1_024, 8, 256, 8
-#: How far beyond a list's border a query looks, in standard deviations of a partner's random offset across it.
-REACH = 3.0
+SAMPLE, LISTS, SUBSPACES, CODES, ROUNDS = 32_768, 4_096, 8, 256, 8
 #: Vectors of a list in one task, and queries compared at once.
 BLOCK, ROWS = 4_096, 256
 
@@ -78,19 +78,14 @@ class Index:
         return codes, np.sqrt(off)
 
     def probes(self, x: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
-        """Each vector's own list, and which lists it looks into.
-
-        A partner lies within the radius R.  Across the border between the own
-        list and another its offset is that of a random direction, of standard
-        deviation R / sqrt(dimension); lists whose border is farther away than
-        ``REACH`` of these, or than R, are left out.
-        """
-        d = (self.centres**2).sum(1) - 2 * (x @ self.centres.T)
+        """Each vector's own list, and which lists it looks into: those whose border is at most half the radius away."""
+        square = (self.centres**2).sum(1)
+        d = square - 2 * (x @ self.centres.T)
         own = d.argmin(1)
-        gaps = np.sqrt(np.maximum(((self.centres[:, None] - self.centres[None]) ** 2).sum(2), 1e-18)) if len(self.centres) <= 256 else None
-        between = gaps[own] if gaps is not None else np.stack([np.sqrt(np.maximum(((self.centres - self.centres[o]) ** 2).sum(1), 1e-18)) for o in own])
+        mine = self.centres[own]
+        between = np.sqrt(np.maximum(square[own][:, None] + square - 2 * (mine @ self.centres.T), 1e-18))
         border = (d - d[np.arange(len(x)), own][:, None]) / (2 * between)
-        return own, border <= radius * min(1.0, REACH / math.sqrt(x.shape[1]))
+        return own, border <= radius / 2 + 1e-9
 
     def tables(self, residuals: np.ndarray) -> list[np.ndarray]:
         """For each subspace the squared distances of the queries to all codes."""
@@ -148,13 +143,13 @@ def _packed(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> Data
 
 
 def _fit_all(classes: DataFrame, total: int, sample: int, most_lists: int) -> dict[int, Index]:
-    """An index for each dimension with enough vectors in a bounded sample."""
+    """An index for each dimension in a bounded sample; a dimension so rare that the sample lacks it is one list, compared exactly."""
     rows = classes.select("dim", "vec", "key").orderBy("key").limit(sample).collect()
     by: dict[int, list[bytes]] = {}
     for r in rows:
         by.setdefault(r["dim"], []).append(bytes(r["vec"]))
     lists = max(1, min(most_lists, round(math.sqrt(total) / 4)))
-    return {dim: fit(_units(v, dim), max(1, min(lists, len(v) // 8))) for dim, v in by.items() if len(v) >= 64}
+    return {dim: fit(_units(v, dim), max(1, min(lists, len(v) // 8))) for dim, v in by.items()}
 
 
 def _indexed(classes: DataFrame, indexes: dict[int, Index], radius: float) -> DataFrame:
@@ -178,12 +173,12 @@ def _indexed(classes: DataFrame, indexes: dict[int, Index], radius: float) -> Da
                     for r, i in enumerate(rows):
                         home[i], probes[i], codes[i], error[i] = int(own[r]), np.flatnonzero(look[r]).tolist(), c[r].tobytes(), float(e[r])
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("label", "dim", "rep", "n", "vec")), pa.array(home, pa.int32()), pa.array(probes, pa.list_(pa.int32())), pa.array(codes, pa.binary()), pa.array(error, pa.float64())],
-                ["label", "dim", "rep", "n", "vec", "home", "probes", "codes", "error"],
+                [*(batch.column(c) for c in ("label", "dim", "id", "n", "vec")), pa.array(home, pa.int32()), pa.array(probes, pa.list_(pa.int32())), pa.array(codes, pa.binary()), pa.array(error, pa.float64())],
+                ["label", "dim", "id", "n", "vec", "home", "probes", "codes", "error"],
             )
 
-    return classes.select("label", "dim", "rep", "n", "vec").mapInArrow(
-        run, "label string, dim int, rep long, n long, vec binary, home int, probes array<int>, codes binary, error double"
+    return classes.select("label", "dim", "id", "n", "vec").mapInArrow(
+        run, "label string, dim int, id long, n long, vec binary, home int, probes array<int>, codes binary, error double"
     )
 
 
@@ -204,7 +199,7 @@ class _Forest:
 def search_block(index: Index | None, at: int, queries: pd.DataFrame, residents: pd.DataFrame, dim: int, threshold: float) -> pd.DataFrame:
     """Links between queries and a list's residents: what each vector's count grows by, and a spanning forest."""
     radius = math.sqrt(2 - 2 * threshold)
-    q_id, x_id = queries["rep"].to_numpy(), residents["rep"].to_numpy()
+    q_id, x_id = queries["id"].to_numpy(), residents["id"].to_numpy()
     q_n, x_n = queries["n"].to_numpy(), residents["n"].to_numpy()
     q, x = _units(queries["vec"].tolist(), dim), _units(residents["vec"].tolist(), dim)
     homes = queries["home"].to_numpy()
@@ -246,7 +241,7 @@ def links(classes: DataFrame, indexes: dict[int, Index], threshold: float, block
     """(id, links, to): parts of each class's count of linked rows, and edges of spanning forests."""
     rows = materialise(_indexed(classes, indexes, math.sqrt(2 - 2 * threshold)))
     cell = ["label", "dim", "list"]
-    queries = rows.select("label", "dim", F.explode("probes").alias("list"), "rep", "n", "vec", "home")
+    queries = rows.select("label", "dim", F.explode("probes").alias("list"), "id", "n", "vec", "home")
     sizes = (
         rows.select("label", "dim", F.col("home").alias("list"), F.lit(0).alias("q"), F.lit(1).alias("x"))
         .unionByName(rows.select("label", "dim", F.explode("probes").alias("list")).select("*", F.lit(1).alias("q"), F.lit(0).alias("x")))
@@ -256,16 +251,16 @@ def links(classes: DataFrame, indexes: dict[int, Index], threshold: float, block
     )
     dealt_q = (
         queries.join(sizes, cell)
-        .withColumn("qc", F.expr("pmod(xxhash64(rep), qs)"))
+        .withColumn("qc", F.expr("pmod(xxhash64(id), qs)"))
         .withColumn("xc", F.explode(F.expr("sequence(0L, xs - 1L)")))
-        .select(*cell, "qc", "xc", F.lit(True).alias("query"), "rep", "n", "vec", "home", F.expr("cast(null as array<int>)").alias("probes"), F.expr("cast(null as binary)").alias("codes"), F.lit(0.0).alias("error"))
+        .select(*cell, "qc", "xc", F.lit(True).alias("query"), "id", "n", "vec", "home", F.expr("cast(null as array<int>)").alias("probes"), F.expr("cast(null as binary)").alias("codes"), F.lit(0.0).alias("error"))
     )
     dealt_x = (
         rows.withColumn("list", F.col("home"))
         .join(sizes, cell)
-        .withColumn("xc", F.expr("pmod(xxhash64(rep, 1L), xs)"))
+        .withColumn("xc", F.expr("pmod(xxhash64(id, 1L), xs)"))
         .withColumn("qc", F.explode(F.expr("sequence(0L, qs - 1L)")))
-        .select(*cell, "qc", "xc", F.lit(False).alias("query"), "rep", "n", "vec", "home", "probes", "codes", "error")
+        .select(*cell, "qc", "xc", F.lit(False).alias("query"), "id", "n", "vec", "home", "probes", "codes", "error")
     )
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -304,17 +299,22 @@ def near_duplicates(
     """
     rows = materialise(_packed(df, id_col, vector_col, label_col))
     able = rows.filter("vec_id is not null and label is not null and vec is not null")
-    classes = materialise(able.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec")))
+    classes = able.groupBy("label", "dim", "key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("vec").alias("vec"))
+    # numbers of the classes, fixed once they are stored: vectors that repeat an id are classes of their own
+    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()))
     indexes = _fit_all(classes, classes.count(), sample, most_lists)
     found = materialise(links(classes, indexes, threshold, block))
-    more = found.groupBy(F.col("id").alias("rep")).agg(F.sum("links").alias("links"))
+    more = found.groupBy("id").agg(F.sum("links").alias("links"))
     whole = components(found.filter("id <> to"), "id", "to")
-    named = (
-        classes.select("label", "dim", "key", "rep", "n")
-        .join(more, "rep", "left")
-        .join(whole.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("label", "dim", "key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "rep").alias("component"))
+    named = materialise(
+        classes.select("label", "dim", "key", "rep", "n", "id")
+        .join(more, "id", "left")
+        .join(whole, "id", "left")
+        .select("label", "dim", "key", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "id").alias("whole"), F.col("component").isNotNull().alias("joined"))
     )
+    # the smallest vec_id of a component; a component's first class has no entry of its own in ``whole``
+    least = named.groupBy("whole").agg(F.min("rep").alias("component"), F.max("joined").alias("any")).filter("any").select("whole", "component")
+    named = named.join(least, "whole", "left").select("label", "dim", "key", "links", F.coalesce("component", "rep").alias("component"))
     out = (
         rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("label")).alias("label"), "dim", "key")
         .join(named, ["label", "dim", "key"], "left")

@@ -127,5 +127,83 @@ from r left join g on r.d = g.d
 """
 
 
+_OP3 = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from documents
+), b as (
+  select cast(item_id as varchar) as item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') as w from benchmark
+), g as (
+  select distinct item, len(w[k : k + 9]) as n, array_to_string(w[k : k + 9], ' ') as window_text
+  from (select item, w, unnest(range(1, greatest(2, cast(len(w) as bigint) - 8))) as k from b where len(w) > 0)
+), sizes as (
+  select distinct n from g
+), p as (
+  select doc_id, k, n, array_to_string(w[k : k + n - 1], ' ') as window_text
+  from (select doc_id, w, n, unnest(range(1, cast(len(w) as bigint) - n + 2)) as k from d cross join sizes where len(w) >= n)
+), hits as (
+  select p.doc_id, p.k, p.n, g.item from p join g on p.window_text = g.window_text
+), words as (
+  select doc_id, count(distinct x) as n_hit from (select distinct doc_id, unnest(range(k, k + n)) as x from hits) group by doc_id
+), items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from hits) group by doc_id
+)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit, cast(coalesce(n_items, 0) as bigint) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (doc_id) left join items using (doc_id)
+"""
+
+_OP8 = r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), s as (
+  select distinct doc_id, array_to_string(w[k : k + 2], ' ') as shingle
+  from (select doc_id, w, unnest(range(1, greatest(2, cast(len(w) as bigint) - 1))) as k from d where len(w) > 0)
+), n as (
+  select doc_id, count(*) as n from s group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by all
+), links as (
+  select a, b from shared join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)
+), reach as (
+  select doc_id, doc_id as other from d
+  union
+  select reach.doc_id, links.b from reach join links on links.a = reach.other
+), least as (
+  select doc_id, min(other) as component_id from reach group by doc_id
+)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, component_id, d.doc_id = component_id as kept
+from d join least using (doc_id) left join n using (doc_id)
+"""
+
+_OP10 = """
+with recursive v as (
+  select vec_id, label, cast(embedding as double[]) as x from embeddings
+), u as (
+  select vec_id, label, x, sqrt(list_dot_product(x, x)) as norm from v where label is not null and x is not null and len(x) = len(list_filter(x, lambda c: c is not null and isfinite(c)))
+), ok as (
+  select * from u where norm > 0 and isfinite(norm)
+), links as (
+  select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+  where list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.93
+), n as (
+  select a as vec_id, count(*) as n from links group by a
+), reach as (
+  select vec_id, vec_id as other from v
+  union
+  select reach.vec_id, links.b from reach join links on links.a = reach.other
+), least as (
+  select vec_id, min(other) as component_id from reach group by vec_id
+)
+select v.vec_id, cast(coalesce(n.n, 0) as bigint) as n_links, component_id, v.vec_id = component_id as kept
+from v join least using (vec_id) left join n using (vec_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_warc": _OP4, "op5_license_scan": license_scan.oracle()}
+    return {
+        "op3_decontamination": _OP3,
+        "op4_warc": _OP4,
+        "op5_license_scan": license_scan.oracle(),
+        "op8_near_dedup": _OP8,
+        "op10_embedding_dedup": _OP10,
+    }
