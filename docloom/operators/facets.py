@@ -71,3 +71,51 @@ def edges(cells: DataFrame, scale: float = 1.5, least: float = 4.0, most: float
 def tone(ratio: Column) -> Column:
     """A briefing cell's tone by its ratio."""
     return F.when(ratio >= 1, "full").when(ratio >= 0.66, "strong").when(ratio >= 0.33, "some").otherwise("weak")
+
+
+def options(dimension: DataFrame, counts: DataFrame, value: str, chosen: str | None) -> DataFrame:
+    """(value, n, selected): all values of a dimension with their counts; those without rows only where they are chosen."""
+    rows = dimension.join(counts, value, "left").select(value, F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce(F.col(value) == F.lit(chosen), F.lit(False)).alias("selected"))
+    return rows.filter((F.col("n") > 0) | F.col("selected"))
+
+
+def asset_insight(rows: DataFrame, asset: str, evidence: str, kind: str, preview: str) -> DataFrame:
+    """(asset, n_evidence, kinds, priority): evidence inverted to assets; figures and images before PDFs before the rest."""
+    priority = F.when(F.col(preview) == "figure", 3).when(F.col(preview) == "image", 2).when(F.col(preview) == "pdf", 1).otherwise(0)
+    return rows.groupBy(asset).agg(F.count_distinct(evidence).alias("n_evidence"), F.array_join(F.array_sort(F.collect_set(kind)), ",").alias("kinds"), F.max(priority).alias("priority"))
+
+
+def first_seen_ids(rows: DataFrame, keys: list[str], seq: str, prefix: str, width: int) -> DataFrame:
+    """(keys, id): distinct keys numbered over all in the order in which they were first seen.
+
+    The numbers are of a dimension, which is small beside the rows: only its
+    keys meet in one task.
+    """
+    first = rows.groupBy(*keys).agg(F.min(seq).alias("__first"))
+    place = F.row_number().over(Window.orderBy("__first", *keys))
+    return first.select(*keys, F.concat(F.lit(f"{prefix}-"), F.lpad(place.cast("string"), width, "0")).alias("id"))
+
+
+def taxonomy_ids(rows: DataFrame) -> DataFrame:
+    """(domain, subdomain, domain_id, subdomain_id) of rows (domain, subdomain, seq): TD-nnn and TSD-nnn-mmm as first seen."""
+    pairs = rows.groupBy("domain", "subdomain").agg(F.min("seq").alias("s"))
+    numbers = first_seen_ids(pairs, ["domain"], "s", "TD", 3).withColumnRenamed("id", "domain_id")
+    place = F.row_number().over(Window.partitionBy("domain").orderBy("s", "subdomain"))
+    out = pairs.withColumn("p", place).join(numbers, "domain")
+    return out.select("domain", "subdomain", "domain_id", F.concat(F.lit("TSD-"), F.substring("domain_id", 4, 9), F.lit("-"), F.lpad(F.col("p").cast("string"), 3, "0")).alias("subdomain_id"))
+
+
+def matrix_detail(rows: DataFrame, policy: str, domain: str, group: str, content: str, reviewed: str, strategy: str) -> DataFrame:
+    """(policy, domain, n_groups, n_contents, n_reviewed, status, top_strategy): a cell's counts, its review and its most frequent strategy, the first by name among equals."""
+    keys = [F.col(policy).alias("policy"), F.coalesce(domain, F.lit(UNMAPPED)).alias("domain")]
+    cells = rows.groupBy(*keys).agg(F.count_distinct(group).alias("n_groups"), F.count_distinct(content).alias("n_contents"), F.count_distinct(F.when(F.col(reviewed), F.col(content))).alias("n_reviewed"))
+    mix = rows.groupBy(*keys, F.col(strategy).alias("s")).agg(F.count("*").alias("n")).groupBy("policy", "domain").agg(F.min(F.struct((-F.col("n")).alias("n"), "s")).alias("m"))
+    return cells.join(mix, ["policy", "domain"]).select("policy", "domain", "n_groups", "n_contents", "n_reviewed", status_rollup(F.col("n_contents"), F.col("n_reviewed")).alias("status"), F.col("m.s").alias("top_strategy"))
+
+
+def nodes(cells: DataFrame, scale: float = 2.0, least: float = 6.0, most: float = 48.0) -> DataFrame:
+    """(side, name, weight, radius): the policies and domains of a network by the weight of their mapped cells."""
+    kept = cells.filter((F.col("domain") != UNMAPPED) & (F.col("n_contents") > 0))
+    sides = [kept.groupBy(F.col(c).alias("name")).agg(F.sum("n_contents").alias("weight")).select(F.lit(c).alias("side"), "name", "weight") for c in ("policy", "domain")]
+    radius = F.least(F.greatest(F.sqrt("weight") * scale, F.lit(least)), F.lit(most))
+    return sides[0].unionByName(sides[1]).withColumn("radius", F.round(radius, 4))

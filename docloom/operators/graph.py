@@ -7,8 +7,43 @@ from pyspark.sql import functions as F
 
 
 def iri(base: str, kind: str, key: Column) -> Column:
-    """base/resource/kind/percent-encoded key."""
-    return F.concat(F.lit(f"{base}/resource/{kind}/"), F.replace(F.url_encode(key.cast("string")), F.lit("+"), F.lit("%20")))
+    """base/resource/kind/percent-encoded key; a slash, a tilde and an asterisk's code as RFC 3986 has them."""
+    encoded = F.url_encode(key.cast("string"))
+    for old, new in (("+", "%20"), ("%2F", "/"), ("%7E", "~"), ("*", "%2A")):
+        encoded = F.replace(encoded, F.lit(old), F.lit(new))
+    return F.concat(F.lit(f"{base}/resource/{kind}/"), encoded)
+
+
+def literal(text: Column) -> Column:
+    """A quoted literal with backslashes, quotes and line ends escaped."""
+    out = text
+    for sign, name in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        out = F.replace(out, F.lit(sign), F.lit(name))
+    return F.concat(F.lit('"'), out, F.lit('"'))
+
+
+def term(value: Column) -> Column:
+    """An IRI in angle brackets, anything else as a literal."""
+    return F.when(value.rlike("^https?://"), F.concat(F.lit("<"), value, F.lit(">"))).otherwise(literal(value))
+
+
+def turtle(facts: DataFrame, prefix: str) -> DataFrame:
+    """(subject, block): each subject's facts as one Turtle block, predicates and objects in order, repeated objects once."""
+    facts = facts.select("subject", "predicate", term(F.col("object")).alias("o")).distinct()
+    lists = facts.groupBy("subject", "predicate").agg(F.array_join(F.array_sort(F.collect_list("o")), ", ").alias("objects"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("predicate", "objects"))), lambda x: F.concat(F.lit(f"  {prefix}:"), x["predicate"], F.lit(" "), x["objects"]))
+    return lists.groupBy("subject").agg(F.concat(F.lit("<"), F.first("subject"), F.lit(">\n"), F.array_join(lines, " ;\n"), F.lit(" .")).alias("block"))
+
+
+def json_ld(df: DataFrame, kind: str, subject: Column, properties: dict[str, Column]) -> DataFrame:
+    """(subject, node): a JSON-LD node a row; null properties are left out."""
+    node = F.to_json(F.struct(subject.alias("@id"), F.lit(kind).alias("@type"), *(v.alias(k) for k, v in properties.items())))
+    return df.select(subject.alias("subject"), node.alias("node"))
+
+
+def adjacency(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(a, neighbours): the sorted distinct neighbours of each node."""
+    return edges.groupBy(a).agg(F.array_sort(F.collect_set(b)).alias("neighbours"))
 
 
 def triples(df: DataFrame, subject: Column, objects: dict[str, Column]) -> DataFrame:
@@ -27,6 +62,11 @@ def closure(start: DataFrame, steps: list[tuple[str, DataFrame, str, str]]) -> d
     return out
 
 
+def datatype_violations(facts: DataFrame, path: str, pattern: str) -> DataFrame:
+    """(subject, path, object): values of a path that don't have the form of its datatype."""
+    return facts.filter((F.col("predicate") == path) & ~F.col("object").rlike(pattern)).select("subject", F.lit(path).alias("path"), "object")
+
+
 def shape_violations(subjects: DataFrame, facts: DataFrame, path: str, least: int, most: int) -> DataFrame:
     """(subject, path, n) of the subjects with too few or too many values."""
     n = facts.filter(F.col("predicate") == path).groupBy("subject").agg(F.count("*").alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 25
@@ -32,7 +32,7 @@ def nfkc(text: Column) -> Column:
 
 def match_key(text: Column) -> Column:
     """NFKC in lower case without white space."""
-    return F.regexp_replace(F.lower(nfkc(text)), r"\s+", "")
+    return F.regexp_replace(F.lower(nfkc(text)), r"(?U)\s+", "")
 
 
 def short(line: Column) -> Column:
@@ -44,28 +44,52 @@ def clipped(text: Column, most: int) -> Column:
     return F.when(F.char_length(text) > most, F.concat(F.substring(text, 1, most - 1), F.lit("…"))).otherwise(text)
 
 
-def carry_heading(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Each longer line with the last short one before it."""
-    back = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn("heading", F.last(F.when(short(F.col("line")), F.col("line")), ignorenulls=True).over(back)).filter(~short(F.col("line")))
+def runs(items: Column, opens) -> Column:
+    """Consecutive elements of an array as arrays: a new one begins at each element for which ``opens(element, previous)`` holds."""
+    n = F.size(items)
+    pairs = F.transform(items, lambda x, i: F.struct(x.alias("x"), F.get(items, i - 1).alias("p")))
+    at = F.filter(F.transform(pairs, lambda z, i: F.when((i == 0) | F.coalesce(opens(z["x"], z["p"]), F.lit(False)), i)), lambda i: i.isNotNull())
+    ends = F.concat(F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), F.array(n))
+    return F.when(n > 0, F.zip_with(at, ends, lambda a, b: F.slice(items, a + 1, F.coalesce(b - a, F.lit(0)))))
 
 
-def short_runs(lines: DataFrame, least: int, id_col: str = "doc_id") -> DataFrame:
-    """(id, first, n): runs of at least ``least`` short lines."""
-    order = Window.partitionBy(id_col).orderBy("pos")
-    marked = lines.filter(short(F.col("line"))).withColumn("island", F.col("pos") - F.row_number().over(order))
-    return marked.groupBy(id_col, "island").agg(F.min("pos").alias("first"), F.count("*").alias("n")).filter(F.col("n") >= least).drop("island")
+def _numbered(text: Column) -> Column:
+    """The lines of a text as (pos, line), from 1."""
+    return F.transform(F.split(text, "\n"), lambda x, i: F.struct((i + 1).cast("long").alias("pos"), x.alias("line")))
 
 
-def gate(lines: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """yes, review or no for each line, from ordered rules that look one line back."""
-    before = F.lag("line").over(Window.partitionBy(id_col).orderBy("pos"))
+def _exploded(df: DataFrame, id_col: str, rows: Column, name: str) -> DataFrame:
+    return df.select(id_col, F.explode(rows).alias(name))
+
+
+def carry_heading(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, pos, line, heading): each longer line with the last short one before it.  A text's lines stay in one row: no shuffle."""
+    sections = _exploded(df, id_col, runs(_numbered(F.col(text_col)), lambda x, _: short(x["line"])), "r")
+    head = F.get("r", F.lit(0))["line"]
+    heading = F.when(short(head), head)
+    body = F.filter("r", lambda x: ~short(x["line"]))
+    return sections.select(id_col, heading.alias("heading"), F.explode(body).alias("x")).select(id_col, "x.pos", "x.line", "heading")
+
+
+def short_runs(df: DataFrame, least: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, first, n): runs of at least ``least`` short lines.  A text's lines stay in one row: no shuffle."""
+    groups = runs(_numbered(F.col(text_col)), lambda x, p: short(x["line"]) != short(p["line"]))
+    rows = _exploded(df, id_col, F.filter(groups, lambda r: short(r[0]["line"]) & (F.size(r) >= least)), "r")
+    return rows.select(id_col, F.get("r", F.lit(0))["pos"].alias("first"), F.size("r").cast("long").alias("n"))
+
+
+def gate(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, pos, line, candidate): yes, review or no for each line, from ordered rules that look one line back.  No shuffle."""
+    lines = F.split(text_col, "\n")
+    pairs = F.zip_with(lines, F.concat(F.array(F.lit(None).cast("string")), lines), lambda x, p: F.struct(x.alias("line"), p.alias("before")))
+    rows = df.select(id_col, F.posexplode(F.slice(pairs, F.lit(1), F.size(lines))).alias("p", "x"))
+    rows = rows.select(id_col, (F.col("p") + 1).cast("long").alias("pos"), "x.line", "x.before")
     line = F.col("line")
     rules = (
         F.when(line.rlike(r"[*#%$]{3}"), "no")
         .when(F.lower(line).contains("licen"), "review")
         .when(F.char_length(line) < 10, "review")
-        .when(short(line) & short(F.coalesce(F.col("__before"), F.lit(""))), "no")
+        .when(short(line) & short(F.coalesce(F.col("before"), F.lit(""))), "no")
         .otherwise("yes")
     )
-    return lines.withColumn("__before", before).withColumn("candidate", rules).drop("__before")
+    return rows.withColumn("candidate", rules).drop("before")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import facets, graph, layout, ranking, review, scoring, textops, validate
+from docloom.operators import facets, graph, labels, layout, ranking, review, scoring, textops, validate
 from docloom.plans import oracles
 from docloom.session import table
 
@@ -16,18 +16,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 BASE = "http://example.org/docloom"
 #: Parameters of the example queries, chosen to fit the test text.
 LANGUAGE_TERMS = [
-    scoring.Term("the", ("and", "with", "of")),
-    scoring.Term("les", ("des", "que", "dans")),
-    scoring.Term("nicht", ("der", "sch", "und")),
-    scoring.Term("los", ("una", "por", "del")),
+    scoring.Term("the", ("and", "with", "of"), ("ing",), "en"),
+    scoring.Term("les", ("des", "que", "dans"), ("eau",), "fr"),
+    scoring.Term("nicht", ("der", "sch", "und"), ("ung",), "de"),
+    scoring.Term("los", ("una", "por", "del"), ("ción",), "es"),
     scoring.Term("license", ("copyright", "permission")),
 ]
-PART_TERMS = [
-    scoring.Term("smallring", ("small", "ring")),
-    scoring.Term("redwidget", ("red", "widget")),
-    scoring.Term("bluebolt", ("blue", "bolt")),
-    scoring.Term("hotgear", ("hot", "gear")),
-]
+PART_TERMS = [scoring.Term("small ring"), scoring.Term("red widget"), scoring.Term("blue bolt"), scoring.Term("hot gear")]
+#: Points of a subdomain's label and of each of its words.
+SUBDOMAIN = scoring.Weights(label=6, word=2, most_words=None)
 #: Labels that, as a document's best, keep it out.
 EXCEPTED = ("license",)
 RESOURCES = {"legal": ("license", "copyright"), "personal": ("@", "+"), "junk": ("***", "###", "%%%")}
@@ -84,7 +81,7 @@ def q06_network_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q09_unit_split_islands(spark: SparkSession, d: str) -> DataFrame:
-    return textops.short_runs(textops.line_blocks(table(spark, d, "documents")), 2)
+    return textops.short_runs(table(spark, d, "documents"), 2)
 
 
 def q12_dedup_repeated_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -97,34 +94,55 @@ def q12_dedup_repeated_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def q13_label_summary(spark: SparkSession, d: str) -> DataFrame:
     first = F.get(F.split("text", "\n"), F.lit(0))
-    return table(spark, d, "documents").select("doc_id", textops.clipped(first, 48).alias("label"), textops.clipped(F.col("text"), 180).alias("summary"))
+    return table(spark, d, "documents").select(
+        "doc_id",
+        labels.label(first).alias("label"),
+        labels.label(first, 60, 57, retry=False).alias("merge_label"),
+        *(labels.summary(F.col("text"), k).alias(f"summary_{k}") for k in labels.SUMMARIES),
+        labels.slug(first).alias("slug"),
+    )
 
 
 def q14_matchkey(spark: SparkSession, d: str) -> DataFrame:
-    key = textops.match_key(F.col("text"))
-    return table(spark, d, "documents").select("doc_id", F.char_length(key).cast("long").alias("key_chars"), F.sha2(key, 256).alias("key_sha256"))
+    key, compare = textops.match_key(F.col("text")), labels.compare_key(F.col("text"))
+    words = labels.keywords(F.split("text", "\n"))
+    return table(spark, d, "documents").select(
+        "doc_id",
+        F.char_length(key).cast("long").alias("key_chars"),
+        F.sha2(key, 256).alias("key_sha256"),
+        F.char_length(compare).cast("long").alias("compare_chars"),
+        F.size(F.filter(words, lambda w: w.rlike("^[a-z0-9]+$"))).cast("long").alias("n_keywords"),
+    )
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, terms): the scored terms of each document; the first line is title and focus, the language the prior."""
+    docs = table(spark, d, "documents").withColumn("key", textops.match_key(F.col("text"))).withColumn("title", textops.match_key(F.get(F.split("text", "\n"), F.lit(0))))
+    how = {"title": F.col("title"), "focus": F.col("title"), "prior": F.col("lang")}
+    return docs.select("doc_id", scoring.scored(docs, F.col("key"), LANGUAGE_TERMS, **how).alias("terms"))
 
 
 def q17_keyword_score(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").withColumn("key", textops.match_key(F.col("text")))
-    return scoring.scores(docs, F.col("key"), LANGUAGE_TERMS, ["doc_id"])
+    return _scored(spark, d).select("doc_id", F.explode("terms").alias("s")).select("doc_id", "s.label", "s.display_order", (-F.col("s.minus")).alias("score"))
 
 
 def q18_top2_margin(spark: SparkSession, d: str) -> DataFrame:
-    top = ranking.within_margin(q17_keyword_score(spark, d), "doc_id")
-    return top.withColumn("is_primary", (F.col("rank") == 1).cast("int")).withColumn("confidence", F.when(F.col("score") >= 10, "high").otherwise("medium"))
+    top = _scored(spark, d).select("doc_id", F.posexplode(scoring.within_margin(F.col("terms"))).alias("p", "s"))
+    rows = top.select("doc_id", "s.label", "s.display_order", (-F.col("s.minus")).alias("score"), (F.col("p") + 1).alias("rank"))
+    return rows.withColumn("is_primary", (F.col("rank") == 1).cast("int")).withColumn("confidence", scoring.confidence(F.col("score"), scoring.ITEM_STEPS, "medium")).withColumn(
+        "paragraph_confidence", scoring.confidence(F.col("score"), scoring.PARAGRAPH_STEPS, None)
+    )
 
 
 def q19_top3_suggest(spark: SparkSession, d: str) -> DataFrame:
-    best = F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("minus"), "display_order", "label")))
-    rows = q17_keyword_score(spark, d).groupBy("doc_id").agg(best.alias("b"))
-    return rows.select("doc_id", *(F.get("b", F.lit(i))["label"].alias(n) for i, n in enumerate(("suggested", "alternate_1", "alternate_2"))))
+    rows = _scored(spark, d).filter(F.size("terms") > 0)
+    return rows.select("doc_id", *(F.get("terms", F.lit(i))["label"].alias(n) for i, n in enumerate(("suggested", "alternate_1", "alternate_2"))))
 
 
 def q20_subdomain_infer(spark: SparkSession, d: str) -> DataFrame:
-    parts = table(spark, d, "part").withColumn("key", textops.match_key(F.col("p_name")))
-    found = scoring.scores(parts, F.col("key"), PART_TERMS, ["p_partkey"], label=6, alias=2)
-    return ranking.within_margin(found, "p_partkey", floor=1, margin=0, most=1).select("p_partkey", "label", "score")
+    parts = table(spark, d, "part")
+    best = F.get(scoring.scored(parts, textops.match_key(F.col("p_name")), PART_TERMS, weights=SUBDOMAIN, least_word=1), F.lit(0))
+    return parts.select("p_partkey", best.alias("b")).filter("b is not null").select("p_partkey", "b.label", (-F.col("b.minus")).alias("score"))
 
 
 def q21_resource_unique_max(spark: SparkSession, d: str) -> DataFrame:
@@ -135,15 +153,17 @@ def q21_resource_unique_max(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q22_candidate_gate_lag(spark: SparkSession, d: str) -> DataFrame:
-    return textops.gate(textops.line_blocks(table(spark, d, "documents"))).select("doc_id", "pos", "candidate")
+    return textops.gate(table(spark, d, "documents")).select("doc_id", "pos", "candidate")
 
 
 def q23_heading_carry_forward(spark: SparkSession, d: str) -> DataFrame:
-    return textops.carry_heading(textops.line_blocks(table(spark, d, "documents"))).select("doc_id", "pos", "heading")
+    return textops.carry_heading(table(spark, d, "documents")).select("doc_id", "pos", "heading")
 
 
 def q28_decision_key(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", review.decision_key("SRD", F.col("source"), F.col("lang"), F.col("doc_id"), textops.clipped(F.col("text"), 48)).alias("decision_key"))
+    name = textops.match_key(labels.label(F.get(F.split("text", "\n"), F.lit(0))))
+    lens = review.lens_key(F.col("lang"), F.col("source"), F.lit(None), F.concat_ws(", ", F.lit("b"), F.col("doc_id").cast("string"), F.lit("b | a")))
+    return table(spark, d, "documents").select("doc_id", review.decision_key("SRD", F.col("source"), F.col("lang"), F.col("doc_id"), name).alias("decision_key"), lens.alias("lens_key"))
 
 
 def q29_review_queue_double_anti(spark: SparkSession, d: str) -> DataFrame:
@@ -200,14 +220,15 @@ def q37_slice_delete_guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q38_backlog_lattice(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    marks = table(spark, d, "labels").groupBy("doc_id").agg(F.max(F.struct("toxic", "quality")).alias("m")).select("doc_id", "m.toxic", "m.quality")
+    rows = table(spark, d, "documents").join(marks, "doc_id", "left")
     status = F.when(F.col("quality").isNull(), "unreviewed").when(F.col("toxic") == 1, "blocked").when(F.col("quality") == 1, "done").otherwise("rework")
     priority = F.when(status == "blocked", 0).when(status == "rework", 1).when(status == "unreviewed", 2).otherwise(3)
     return rows.groupBy("source", status.alias("status"), priority.alias("priority")).agg(F.count("*").alias("n"), F.sum("n_chars").alias("chars"))
 
 
 def q39_source_assets(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").groupBy("source", "lang").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_docs"), F.count_distinct("text").alias("n_texts"))
+    return table(spark, d, "documents").groupBy("source", "lang").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n_docs"), F.count_distinct(F.sha2("text", 256)).alias("n_texts"))
 
 
 def q40_flat_export_nested(spark: SparkSession, d: str) -> DataFrame:
@@ -296,8 +317,8 @@ def q55_unpivot_taxonomy(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q57_overlay_decisions(spark: SparkSession, d: str) -> DataFrame:
-    files = table(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "toxic").alias("decided"))
-    return table(spark, d, "documents").join(files, "doc_id", "left").select("doc_id", F.coalesce("decided", "source").alias("source"))
+    decided = table(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "toxic").alias("source"))
+    return review.overlaid(table(spark, d, "documents").select("doc_id", "source"), decided, "doc_id", ["source"])
 
 
 def q58_manifest_sha256(spark: SparkSession, d: str) -> DataFrame:
@@ -313,9 +334,7 @@ def q08_block_classify(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q27_exception_block(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", textops.match_key(F.col("text")).alias("key"))
-    scored = scoring.scores(docs, F.col("key"), LANGUAGE_TERMS, ["doc_id"])
-    top = scored.groupBy("doc_id").agg(F.min(F.struct((-F.col("score")).alias("minus"), "display_order", "label")).alias("t"), F.count("*").alias("n_terms"))
+    top = _scored(spark, d).select("doc_id", F.get("terms", F.lit(0)).alias("t"), F.size("terms").cast("long").alias("n_terms")).filter("t is not null")
     return top.filter(~F.col("t.label").isin(*EXCEPTED)).select("doc_id", F.col("t.label").alias("label"), (-F.col("t.minus")).alias("score"), "n_terms")
 
 
@@ -366,8 +385,13 @@ def q56_bbox_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: f for name, f in globals().items() if name[0] == "q" and name[1:3].isdigit()}
+    from docloom.plans import evidence
+
+    every = {**globals(), **vars(evidence)}
+    return {name: every[name] for name in sorted(every) if name[0] == "q" and name[1:3].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracles.SQL)
+    from docloom.plans import evidence_oracles
+
+    return {**oracles.SQL, **evidence_oracles.SQL}

@@ -12,23 +12,43 @@ _TERMS = """order_terms as (
 _LINES = "lines as (select doc_id, unnest(range(1, len(l) + 1)) as pos, unnest(l) as line from (select doc_id, string_split(text, chr(10)) as l from documents))"
 
 
-def _score(key: str, terms: list, label: int, alias: int) -> str:
+def _has(key: str, word: str) -> str:
+    return f"cast(contains({key}, '{word}') as int)"
+
+
+def _score(terms: list) -> str:
     parts = []
-    for i, (name, aliases) in enumerate(terms, 1):
-        score = f"{label} * cast(contains({key}, '{name}') as int)" + "".join(f" + {alias} * cast(contains({key}, '{a}') as int)" for a in aliases)
-        parts.append(f"{{'label': '{name}', 'display_order': {i}, 'score': cast({score} as int)}}")
+    for i, (name, aliases, policies, lang) in enumerate(terms, 1):
+        score = [f"8 * {_has('k', name)}", f"2 * {_has('k', name)}"]
+        score += [f"3 * {_has('k', a)} + {_has('k', a)} * {_has('f', a)}" for a in aliases]
+        score += [f"4 * cast(contains(k, '{a}') or contains(f, '{a}') as int)" for a in policies]
+        score += [f"4 * cast(lang = '{lang}' as int)"] if lang else []
+        parts.append(f"{{'label': '{name}', 'display_order': {i}, 'score': cast({' + '.join(score)} as int)}}")
     return f"[{', '.join(parts)}]"
 
 
-_LANGUAGE = [("the", ["and", "with", "of"]), ("les", ["des", "que", "dans"]), ("nicht", ["der", "sch", "und"]), ("los", ["una", "por", "del"]), ("license", ["copyright", "permission"])]
-_PART = [("smallring", ["small", "ring"]), ("redwidget", ["red", "widget"]), ("bluebolt", ["blue", "bolt"]), ("hotgear", ["hot", "gear"])]
+_LANGUAGE = [
+    ("the", ["and", "with", "of"], ["ing"], "en"),
+    ("les", ["des", "que", "dans"], ["eau"], "fr"),
+    ("nicht", ["der", "sch", "und"], ["ung"], "de"),
+    ("los", ["una", "por", "del"], ["ción"], "es"),
+    ("license", ["copyright", "permission"], [], None),
+]
+_PART = ", ".join(
+    f"{{'label': '{a} {b}', 'display_order': {i}, 'score': cast(6 * {_has('k', a + b)} + 2 * {_has('k', a)} + 2 * {_has('k', b)} as int)}}"
+    for i, (a, b) in enumerate([("small", "ring"), ("red", "widget"), ("blue", "bolt"), ("hot", "gear")], 1)
+)
 
+_KEYED = "select doc_id, lang, regexp_replace(lower(text), '\\s+', '', 'g') as k, regexp_replace(lower(string_split(text, chr(10))[1]), '\\s+', '', 'g') as f from documents"
 _SCORES = f"""scores as (
-  select doc_id, s.label as label, s.display_order as display_order, s.score as score from (
-    select doc_id, unnest({_score("k", _LANGUAGE, 8, 3)}) as s from (select doc_id, regexp_replace(lower(text), '\\s+', '', 'g') as k from documents)
-  ) where s.score > 0
+  select doc_id, s.label as label, s.display_order as display_order, s.score as score from (select doc_id, unnest({_score(_LANGUAGE)}) as s from ({_KEYED})) where s.score > 0
 )"""
 
+#: The label and summaries of a collapsed text.
+LABEL = """case when length(x) > {0} then rtrim(left(x, {1})) || '...' else x end"""
+FIRST = """case when trim(regexp_extract(t, '\\(([^()]+)\\)', 1)) <> '' then trim(regexp_extract(t, '\\(([^()]+)\\)', 1)) else trim(regexp_split_to_array(regexp_replace(t, '^(?:[-*•□○ㅇ▪]\\s*)+', ''), '[,:;]')[1]) end"""
+AGAIN = """trim(regexp_split_to_array(regexp_replace(t, '^(?:[-*•□○ㅇ▪]\\s*)+', ''), '[,.·;:]')[1])"""
+
 _CLIP = "case when length({0}) > {1} then left({0}, {1} - 1) || '…' else {0} end"
 
 SQL = {
@@ -83,15 +103,23 @@ from (select c_custkey, count(o_orderkey) as n, count(*) filter (o_orderstatus =
 select doc_id, min(pos) as first, count(*) as n from m group by doc_id, island having count(*) >= 2""",
     "q12_dedup_repeated_lines": f"""with {_LINES}, f as (select doc_id, line, min(pos) as p, count(*) as c from lines group by all)
 select doc_id, cast(sum(c) as bigint) as n_lines, count(*) as n_kept, sha256(string_agg(line, chr(10) order by p)) as kept_sha256 from f group by doc_id""",
-    "q13_label_summary": f"select doc_id, {_CLIP.format('first', 48)} as label, {_CLIP.format('text', 180)} as summary from (select doc_id, text, string_split(text, chr(10))[1] as first from documents)",
-    "q14_matchkey": "select doc_id, length(k) as key_chars, sha256(k) as key_sha256 from (select doc_id, regexp_replace(lower(text), '\\s+', '', 'g') as k from documents)",
+    "q13_label_summary": f"""with c as (select doc_id, trim(regexp_replace(string_split(text, chr(10))[1], '\\s+', ' ', 'g')) as t, trim(regexp_replace(text, '\\s+', ' ', 'g')) as w from documents),
+a as (select *, {FIRST} as y from c), b as (select *, case when length(y) < 2 then {AGAIN} else y end as x from a)
+select doc_id, {LABEL.format(48, 45)} as label, {LABEL.format(60, 57).replace("x", "y").replace("case when length(y)", "case when length(y)")} as merge_label,
+  case when length(w) > 150 then rtrim(left(w, 147)) || '...' else w end as summary_short, case when length(w) > 180 then rtrim(left(w, 177)) || '...' else w end as summary_reviewed,
+  case when length(w) > 220 then left(w, 217) || '...' else w end as summary_preview, case when length(w) > 180 then rtrim(left(w, 179)) || '…' else w end as summary_proxy,
+  coalesce(nullif(trim(regexp_replace(lower(t), '[^0-9a-z가-힣]+', '-', 'g'), '-'), ''), 'item') as slug from b""",
+    "q14_matchkey": """with k as (select doc_id, text, regexp_replace(lower(text), '\\s+', '', 'g') as k from documents)
+select doc_id, length(k) as key_chars, sha256(k) as key_sha256, length(k) as compare_chars,
+  len(list_distinct([w for w in regexp_split_to_array(lower(text), '[^0-9a-z가-힣]+') if length(w) >= 2 and regexp_full_match(w, '[a-z0-9]+')])) as n_keywords from k""",
     "q17_keyword_score": f"with {_SCORES} select * from scores",
     "q18_top2_margin": f"""with {_SCORES}, t as (select *, max(score) over (partition by doc_id) as top from scores),
 r as (select *, row_number() over (partition by doc_id order by score desc, display_order) as rk from t where score >= greatest(4, top - 2))
-select doc_id, label, display_order, score, cast(rk as int) as rank, cast(rk = 1 as int) as is_primary, case when score >= 10 then 'high' else 'medium' end as confidence from r where rk <= 2""",
+select doc_id, label, display_order, score, cast(rk as int) as rank, cast(rk = 1 as int) as is_primary, case when score >= 10 then 'high' else 'medium' end as confidence,
+  case when score >= 10 then 'high' when score >= 6 then 'medium' when score >= 4 then 'low' end as paragraph_confidence from r where rk <= 2""",
     "q19_top3_suggest": f"""with {_SCORES}, r as (select *, row_number() over (partition by doc_id order by score desc, display_order) as rk from scores)
 select doc_id, max(label) filter (rk = 1) as suggested, max(label) filter (rk = 2) as alternate_1, max(label) filter (rk = 3) as alternate_2 from r group by doc_id""",
-    "q20_subdomain_infer": f"""with s as (select p_partkey, unnest({_score("k", _PART, 6, 2)}) as s from (select p_partkey, regexp_replace(lower(p_name), '\\s+', '', 'g') as k from part)),
+    "q20_subdomain_infer": f"""with s as (select p_partkey, unnest([{_PART}]) as s from (select p_partkey, regexp_replace(lower(p_name), '\\s+', '', 'g') as k from part)),
 r as (select p_partkey, s.label as label, s.score as score, row_number() over (partition by p_partkey order by s.score desc, s.display_order) as rk from s where s.score > 0)
 select p_partkey, label, score from r where rk = 1""",
     "q21_resource_unique_max": """with h as (select doc_id,
@@ -107,7 +135,10 @@ select doc_id, pos, case when regexp_matches(line, '[*#%$]{{3}}') then 'no' when
     "q23_heading_carry_forward": f"""with {_LINES}, h as (
   select doc_id, pos, length(line) <= 25 as is_short, last_value(case when length(line) <= 25 then line end ignore nulls) over (partition by doc_id order by pos rows between unbounded preceding and 1 preceding) as heading from lines
 ) select doc_id, pos, heading from h where not is_short""",
-    "q28_decision_key": f"""select doc_id, 'SRD-' || source || '-' || left(sha1(source || '|' || lang || '|' || doc_id || '|' || {_CLIP.format('text', 48)}), 12) as decision_key from documents""",
+    "q28_decision_key": f"""with c as (select *, trim(regexp_replace(string_split(text, chr(10))[1], '\\s+', ' ', 'g')) as t from documents),
+a as (select *, {FIRST} as y from c), b as (select *, case when length(y) < 2 then {AGAIN} else y end as x from a), n as (select *, {LABEL.format(48, 45)} as name from b)
+select doc_id, 'SRD-' || source || '-' || left(sha1(source || '|' || lang || '|' || doc_id || '|' || regexp_replace(lower(name), '\\s+', '', 'g')), 12) as decision_key,
+  'TLR-' || lang || '-' || left(sha1(lang || '|' || source || '||' || doc_id || ' | a | b'), 12) as lens_key from n""",
     "q29_review_queue_double_anti": """select doc_id, source from documents d where not exists (select 1 from labels l where l.doc_id = d.doc_id and quality = 1)
 and not exists (select 1 from labels l where l.doc_id = d.doc_id and toxic = 1)""",
     "q30_ledger_reconcile": """with q as (select doc_id, n_chars from documents where n_chars > 500), l as (select doc_id, quality = 1 as done from labels)
