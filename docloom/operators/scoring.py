@@ -95,24 +95,29 @@ def points(
     return out
 
 
-def scored(df: DataFrame, key: Column, vocabulary: list[Term], **how) -> Column:
+def scored(key: Column, vocabulary: list[Term], title: Column | None = None, focus: Column | None = None, prior: Column | None = None, **how) -> Column:
     """The terms with points, as an array by points, then by order in the vocabulary.
 
     The vocabulary is a parameter and goes into the plan as expressions: no
     join with the texts, no shuffle; what is best is taken from the array.
+    The keys are bound to a lambda's variable, so each is made once a row and
+    not once a word.
     """
-    parts = F.array(
-        *(
-            F.struct((-points(t, key, **how)).alias("minus"), F.lit(i).alias("display_order"), F.lit(t.label).alias("label"))
-            for i, t in enumerate(vocabulary, 1)
+    given = {"title": title, "focus": focus, "prior": prior}
+    row = F.struct(key.alias("key"), *(c.alias(n) for n, c in given.items() if c is not None))
+
+    def terms(r: Column) -> Column:
+        columns = {n: r[n] for n, c in given.items() if c is not None}
+        return F.array(
+            *(F.struct((-points(t, r["key"], **columns, **how)).alias("minus"), F.lit(i).alias("display_order"), F.lit(t.label).alias("label")) for i, t in enumerate(vocabulary, 1))
         )
-    )
-    return F.array_sort(F.filter(parts, lambda x: x["minus"] < 0))
+
+    return F.array_sort(F.filter(F.get(F.transform(F.array(row), lambda r: terms(r)), F.lit(0)), lambda x: x["minus"] < 0))
 
 
 def scores(df: DataFrame, key: Column, vocabulary: list[Term], keep: list[str], **how) -> DataFrame:
     """(keep..., label, display_order, score) for every term with a positive score."""
-    return df.select(*keep, F.explode(scored(df, key, vocabulary, **how)).alias("s")).select(*keep, "s.label", "s.display_order", (-F.col("s.minus")).alias("score"))
+    return df.select(*keep, F.explode(scored(key, vocabulary, **how)).alias("s")).select(*keep, "s.label", "s.display_order", (-F.col("s.minus")).alias("score"))
 
 
 def within_margin(terms: Column, floor: int = 4, margin: int = 2, most: int = 2) -> Column:

@@ -119,11 +119,11 @@ def _scored(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, terms): the scored terms of each document; the first line is title and focus, the language the prior."""
     docs = table(spark, d, "documents").withColumn("key", textops.match_key(F.col("text"))).withColumn("title", textops.match_key(F.get(F.split("text", "\n"), F.lit(0))))
     how = {"title": F.col("title"), "focus": F.col("title"), "prior": F.col("lang")}
-    return docs.select("doc_id", scoring.scored(docs, F.col("key"), LANGUAGE_TERMS, **how).alias("terms"))
+    return docs.select("doc_id", scoring.scored(F.col("key"), LANGUAGE_TERMS, **how).alias("terms"))
 
 
 def q17_keyword_score(spark: SparkSession, d: str) -> DataFrame:
-    return _scored(spark, d).select("doc_id", F.explode("terms").alias("s")).select("doc_id", "s.label", "s.display_order", (-F.col("s.minus")).alias("score"))
+    return _scored(spark, d).select("doc_id", F.explode_outer("terms").alias("s")).filter("s is not null").select("doc_id", "s.label", "s.display_order", (-F.col("s.minus")).alias("score"))
 
 
 def q18_top2_margin(spark: SparkSession, d: str) -> DataFrame:
@@ -141,7 +141,7 @@ def q19_top3_suggest(spark: SparkSession, d: str) -> DataFrame:
 
 def q20_subdomain_infer(spark: SparkSession, d: str) -> DataFrame:
     parts = table(spark, d, "part")
-    best = F.get(scoring.scored(parts, textops.match_key(F.col("p_name")), PART_TERMS, weights=SUBDOMAIN, least_word=1), F.lit(0))
+    best = F.get(scoring.scored(textops.match_key(F.col("p_name")), PART_TERMS, weights=SUBDOMAIN, least_word=1), F.lit(0))
     return parts.select("p_partkey", best.alias("b")).filter("b is not null").select("p_partkey", "b.label", (-F.col("b.minus")).alias("score"))
 
 
