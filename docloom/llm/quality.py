@@ -28,8 +28,8 @@ from docloom.llm.common import id_and_text, texts
 PASSAGE, BUCKETS, HIDDEN, GATE = 1_024, 1_024, 24, 12
 #: Bytes of the stretches whose repetition counts, buckets they are hashed to, and features beside the byte pairs.
 STRETCH, STRETCH_BUCKETS, EXTRA = 8, 4_096, 2
-#: Bounds of the training sample: documents, and passages of each (evenly spaced ones of a longer document).
-SAMPLE, SAMPLE_PASSAGES = 8_000, 32
+#: Bounds of the training sample: documents, and passages of all of them together.  A document is taken with all its passages or not at all.
+SAMPLE, SAMPLE_PASSAGES = 8_000, 32_768
 #: Passes over the sample, but at least so many steps.
 EPOCHS, LEAST_STEPS, STEP, DECAY, BATCH = 30, 1_500, 0.004, 1e-5, 64
 #: Passages whose features are held at once.
@@ -116,7 +116,10 @@ def learn(bags: list[list[bytes]], labels: list[int], epochs: int = EPOCHS, seed
     p["c0"][:] = 0
     if len(y) == 0 or y.min() == y.max():
         return Model(**p, prior=float(y.mean()) if len(y) else 0.5)
-    x = np.concatenate([features(bag) for bag in bags])
+    flat = [p for bag in bags for p in bag]
+    x = np.empty((len(flat), BUCKETS + EXTRA), np.float32)
+    for i in range(0, len(flat), BLOCK):
+        x[i : i + BLOCK] = features(flat[i : i + BLOCK])
     sizes = np.array([len(b) for b in bags])
     first = np.cumsum(sizes) - sizes
     m = {k: np.zeros_like(v) for k, v in p.items()}
@@ -157,10 +160,12 @@ def learn(bags: list[list[bytes]], labels: list[int], epochs: int = EPOCHS, seed
 
 
 def training_sample(
-    df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, held_out: int, folds: int
+    df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, sample: int, held_out: int, folds: int, most_passages: int = SAMPLE_PASSAGES
 ) -> tuple[list[list[bytes]], list[int]]:
-    """Bags and labels of at most ``sample`` labelled documents outside the held-out fold, the same at each run.
+    """Bags and labels of labelled documents outside the held-out fold, the same at each run.
 
+    In the order of a hash of their ids, at most ``sample`` documents are
+    looked at, and each is taken whole that still fits into ``most_passages``.
     The ids are chosen from the labels alone, so the join's other side is
     bounded and broadcast; the texts aren't shuffled.
     """
@@ -172,31 +177,37 @@ def training_sample(
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(sample)
     )
-
-    def cut(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            bags = []
-            for text in texts(batch):
-                bag = passages_of(text)
-                if len(bag) > SAMPLE_PASSAGES:
-                    bag = [bag[i * len(bag) // SAMPLE_PASSAGES] for i in range(SAMPLE_PASSAGES)]
-                bags.append(bag)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(bags, pa.list_(pa.binary())), batch.column("y")], ["doc_id", "bag", "y"])
-
-    kind = df.schema[id_col].dataType.simpleString()
     known = id_and_text(df, id_col, text_col).join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))
+    known = known.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("__y").alias("y")).withColumn("n", F.greatest(F.ceil(F.octet_length("text") / PASSAGE), F.lit(1)))
+    known = known.withColumn("h", F.xxhash64("doc_id", "text"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
+    sizes = known.select("doc_id", "h", "n").orderBy(*order).limit(sample).collect()  # rows that repeat an id don't widen the bound
+    fits, left = [], most_passages
+    for r in sizes:
+        if r["n"] <= left:
+            left -= r["n"]
+            fits.append((r["doc_id"], r["h"]))
+    if not fits:
+        return [], []
+    wanted = df.sparkSession.createDataFrame(sorted(set(fits)), f"w {df.schema[id_col].dataType.simpleString()}, wh long")
     rows = (
-        known.select("doc_id", "text", F.col("__y").alias("y"))
-        .mapInArrow(cut, f"doc_id {kind}, bag array<binary>, y int")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("bag"))
-        .limit(sample)  # rows that repeat an id don't widen the bound
+        known.join(F.broadcast(wanted), (F.col("doc_id") == F.col("w")) & (F.col("h") == F.col("wh")))
+        .dropDuplicates(["doc_id", "h"])
+        .orderBy(*order)
+        .select("text", "y")
         .collect()
     )
-    return [[bytes(p) for p in r["bag"]] for r in rows], [r["y"] for r in rows]
+    return [passages_of(r["text"]) for r in rows], [r["y"] for r in rows]
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE, held_out: int = 1, folds: int = 3) -> Model:
-    """A model from the labelled rows outside the held-out fold (crc32 of the id as text, modulo ``folds``)."""
+    """A model from the labelled rows outside the held-out fold (crc32 of the id as text, modulo ``folds``).
+
+    Labels other than 0 and 1 and null ids aren't used; of several labels of an
+    id the larger counts; without labels of both classes the model is their
+    share.  The sample is bounded by ``sample`` documents and ``SAMPLE_PASSAGES``
+    passages.
+    """
     bags, y = training_sample(df, labels, id_col, text_col, label_col, sample, held_out, folds)
     return learn(bags, y)
 
@@ -234,7 +245,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_good(df: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows of ``df`` whose text scores at least ``threshold``, with all their columns."""
+    """The rows of ``df`` whose text scores at least ``threshold``, with all their columns; a null text counts as the empty one, equal rows are kept or go together."""
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
