@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from docloom.llm.common import id_and_text, proven_split, texts
 
 #: Bytes that a worker's cache of encoded matches may take (estimated), and the longest match that it keeps, in characters.
-CACHE_BYTES, CACHE_CHARS = 96 << 20, 32
+CACHE_BYTES, CACHE_CHARS = 48 << 20, 32
 #: Bytes of a cached match beside its characters and ids: string, bytes object and place in the dictionary.
 ENTRY_BYTES = 180
 #: Characters of a long text that are matched at once.

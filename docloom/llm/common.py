@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -43,6 +44,22 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: Rows, and bytes, that are handed to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python workers in small batches: Spark's default of 10,000 rows costs each worker, and the JVM beside it, hundreds of megabytes.
+
+    A session that has set a size of its own keeps it.
+    """
+    for key, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", None, BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = spark.conf.get(name, None)
+        if now is None or now == default or default is None and int(re.sub(r"\D", "", now) or 0) > value:
+            spark.conf.set(name, str(value))
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The whole texts of a batch; null counts as empty."""
     return ["" if t is None else t for t in batch.column(name).to_pylist()]
@@ -50,6 +67,7 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names: extra columns can't clash."""
+    small_batches(df.sparkSession)
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *more)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import id_and_text, texts
+from docloom.llm.common import id_and_text, small_batches, texts
 
 WINDOW = 10
 #: Bytes of normalised items in one automaton, which is sent to every task; larger sets are scanned in several passes.
@@ -211,7 +211,12 @@ def contamination(
 def drop_contaminated(
     df: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, automaton_bytes: int = AUTOMATON_BYTES
 ) -> DataFrame:
-    """The rows of ``df`` whose text holds no window of any item, with all their columns; one scan a list of items, no shuffle."""
+    """The rows of ``df`` whose text holds no window of any item, with all their columns; one scan a list of items, no shuffle.
+
+    A null or empty text holds none and stays; equal rows stay or go together;
+    without items all rows stay; an empty table gives an empty table.
+    """
+    small_batches(df.sparkSession)
     for part in _batches(items, item_id_col, item_text_col, automaton_bytes):
 
         def run(it: Iterator[pa.RecordBatch], part: list = part) -> Iterator[pa.RecordBatch]:

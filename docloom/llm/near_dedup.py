@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import bloom_has, bloom_of, id_and_text, materialise, texts
+from docloom.llm.common import bloom_has, bloom_of, id_and_text, materialise, small_batches, texts
 from docloom.llm.components import components
 
 #: Registers: base of the powers, rate of the exponential variables (so that small sets aren't truncated), largest value.
@@ -253,6 +253,7 @@ def full_sets(df: DataFrame, wanted: DataFrame, setting: Setting, id_col: str, t
                 ["rep", "n", "set_hash", "registers", "shingles"],
             )
 
+    small_batches(df.sparkSession)
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
     found = docs.withColumn("h", F.xxhash64("doc_id")).mapInArrow(run, "rep long, n long, set_hash string, registers binary, shingles binary")
     return found.join(wanted, ["rep", "set_hash"], "left_semi").dropDuplicates(["rep", "set_hash"]).drop("set_hash")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import id_and_text, texts
+from docloom.llm.common import id_and_text, small_batches, texts
 
 PASSAGE, BUCKETS, HIDDEN, GATE = 1_024, 1_024, 24, 12
 #: Bytes of the stretches whose repetition counts, buckets they are hashed to, and features beside the byte pairs.
@@ -251,4 +251,5 @@ def keep_good(df: DataFrame, model: Model, text_col: str = "text", threshold: fl
         for batch in it:
             yield batch.filter(pa.array(_scored(texts(batch, text_col), model) >= threshold, pa.bool_()))
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, df.schema)

@@ -36,7 +36,7 @@ LEAST_OVERLAP = 64
 #: Characters of texts whose new pieces are handed to the library at once.
 BATCH_CHARS = 1 << 20
 #: Bytes that a worker's cache of pieces may take (estimated), the longest piece that it keeps, and a piece's bytes beside its characters and tokens.
-CACHE_BYTES, CACHE_CHARS, ENTRY_BYTES = 96 << 20, 64, 180
+CACHE_BYTES, CACHE_CHARS, ENTRY_BYTES = 48 << 20, 64, 180
 #: Pieces of more characters are cut between letters and punctuation too.
 LONG_PIECE = 64
 
