@@ -1 +1 @@
-
+"""Files as DataFrames, and sinks."""
