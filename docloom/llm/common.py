@@ -44,6 +44,36 @@ def remove(spark: SparkSession, *paths: str) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: one without stands for Spark's default file system, not the local one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+#: A key with more than this part of all rows is hot; so there are fewer hot keys than this, whatever the table's size.
+HOT_KEYS = 4_096
+
+
+def join_hot(rows: DataFrame, found: DataFrame, key: str, value: str) -> DataFrame:
+    """``rows`` with the column ``value`` of ``found`` (key, value, n), null where the key is null or not found.
+
+    ``found`` is stored and has every key once, with the number ``n`` of rows
+    that have it; keys are hexadecimal strings.  Hot keys are looked up in a
+    broadcast of fewer than ``HOT_KEYS`` rows.  Their rows and those without a
+    key meet nothing in the shuffled join, so each goes by a key of its own and
+    no task gets all rows of one key.
+    """
+    total = found.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT_KEYS > total
+    quick = F.broadcast(found.filter(hot).select(F.col(key).alias("__key"), F.col(value).alias("__quick")))
+    slow = found.filter(~hot).select(F.col(key).alias("__key"), F.col(value).alias("__slow"))
+    out = rows.join(quick, F.col(key) == F.col("__key"), "left").drop("__key")
+    alone = F.col("__quick").isNotNull() | F.col(key).isNull()
+    out = out.withColumn("__at", F.when(alone, F.concat(F.lit("~"), F.monotonically_increasing_id().cast("string"))).otherwise(F.col(key)))
+    out = out.join(slow, F.col("__at") == F.col("__key"), "left")
+    return out.withColumn(value, F.coalesce("__quick", "__slow")).drop("__key", "__at", "__quick", "__slow")
+
+
 #: Rows, and bytes, that are handed to a Python worker at once.
 BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 

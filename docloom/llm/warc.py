@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialise, remove, shared_folder
+from docloom.llm.common import join_hot, materialise, qualified, remove, shared_folder
 
 #: Payloads of fewer bytes are never replaced by a revisit.
 LEAST_REVISIT = 1_000
@@ -34,8 +34,8 @@ _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
-    if "://" not in folder and not folder.startswith("file:"):
-        return fs.LocalFileSystem(), folder
+    if folder.startswith("file:/"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(folder)
 
 
@@ -138,23 +138,20 @@ class _Archive:
 def _decided(pages: DataFrame, least: int) -> DataFrame:
     """Pages with digest and, for revisits, the page that they refer to.
 
-    Only digests that occur more than once are joined back, and only digest,
-    length and id are aggregated, with partial sums before the shuffle.
+    Digest, count and largest id of a group are aggregated, with partial sums
+    before the shuffle.  Pages that never revisit, and those of digests with a
+    large part of all rows, spread evenly over the tasks.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     rows = rows.withColumn("payload_digest", F.sha1(F.encode("html", "UTF-8")))
-    long_ones = F.octet_length("html") >= least
-    copies = (
-        rows.filter(long_ones)
-        .groupBy("payload_digest")
-        .agg(F.max("page_id").alias("response"), F.count("*").alias("n"))
-        .filter("n > 1 and response is not null")
-        .select("payload_digest", "response")
+    rows = rows.withColumn("twin", F.when((F.octet_length("html") >= least) & F.col("page_id").isNotNull(), F.col("payload_digest")))
+    copies = materialise(
+        rows.filter("twin is not null").groupBy("twin").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).filter("n > 1")
     )
     # a response never needs the join's result: only the others of a group do
-    revisit = long_ones & F.col("page_id").isNotNull() & (F.col("page_id") != F.col("response"))
-    return rows.join(copies, "payload_digest", "left").select(
+    revisit = F.col("page_id") != F.col("response")
+    return join_hot(rows, copies, "twin", "response").select(
         "page_id", "url", F.when(revisit, "").otherwise(F.col("html")).alias("html"), F.octet_length("html").cast("long").alias("payload_bytes"), "payload_digest", F.when(revisit, F.col("response")).alias("refers_to")
     )
 
@@ -281,7 +278,7 @@ def round_trip(pages: DataFrame, least: int = LEAST_REVISIT, archive_bytes: int
     new one below the shared folder).
     """
     spark = pages.sparkSession
-    base = folder or shared_folder(spark)
+    base = qualified(spark, folder or shared_folder(spark))
     mono = f"{base}/monolithic"
     manifest = write_monolithic(pages, mono, least, archive_bytes)
     # an archive a task: each is one unit of work
