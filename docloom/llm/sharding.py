@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import materialise
+from docloom.llm.common import join_hot, materialise
 
 #: Groups differenced in one task, partial partitions combined in one task, rows numbered in one task.
 BUCKET_GROUPS, FAN_IN, SLOT_ROWS = 4_000, 1_000, 10_000
@@ -97,8 +97,7 @@ def _combine(parts: DataFrame, n: int, fan_in: int) -> DataFrame:
 
 
 def assign_groups(groups: DataFrame, n: int, bucket_groups: int = BUCKET_GROUPS, fan_in: int = FAN_IN) -> DataFrame:
-    """(group string, size long), groups distinct, to (group, shard)."""
-    groups = materialise(groups)
+    """(group string, size long), groups distinct and stored, to (group, shard)."""
     buckets = max(1, math.ceil(groups.count() / bucket_groups))
     low = materialise(_difference_buckets(groups.withColumn("bucket", F.expr(f"pmod(xxhash64(`group`), {buckets}L)")), n))
     place = low.groupBy(F.col("bucket").alias("part"), "subset").agg(F.sum("size").alias("size"))
@@ -114,20 +113,21 @@ def assign_groups(groups: DataFrame, n: int, bucket_groups: int = BUCKET_GROUPS,
         place = level.groupBy(F.col("above").alias("part"), F.col("subset_above").alias("subset")).agg(F.sum("size").alias("size"))
 
 
-def number_slots(rows: DataFrame, order_col: str, slot_rows: int = SLOT_ROWS) -> DataFrame:
+def number_slots(rows: DataFrame, order: list[str], slot_rows: int = SLOT_ROWS) -> DataFrame:
     """Add ``slot``: each shard's rows numbered from 0 without gaps.
 
-    Rows are spread over blocks by a hash of the order column; a row's slot is
-    the number of its shard's rows in earlier blocks plus its place in its own
-    block, so no task numbers a whole shard.
+    Rows are spread over blocks by a hash of the order columns, which together
+    tell any two rows apart; a row's slot is the number of its shard's rows in
+    earlier blocks plus its place in its own block, so no task numbers a whole
+    shard.
     """
     total = rows.count()
     blocks = max(1, math.ceil(total / slot_rows))
-    rows = rows.withColumn("block", F.expr(f"pmod(xxhash64(`{order_col}`, 7L), {blocks}L)"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(*order, F.lit(7)), F.lit(blocks)))
     before = Window.partitionBy("shard").orderBy("block")
     counts = rows.groupBy("shard", "block").agg(F.count("*").alias("n"))
     counts = counts.select("shard", "block", (F.sum("n").over(before) - F.col("n")).alias("earlier"))
-    place = Window.partitionBy("block", "shard").orderBy(order_col)
+    place = Window.partitionBy("block", "shard").orderBy(*order)
     return (
         rows.withColumn("in_block", F.row_number().over(place) - 1)
         .join(counts, ["block", "shard"])
@@ -153,9 +153,10 @@ def shard(
     table; other columns are ignored.  One group larger than a shard's share
     stays whole: its shard is then as large as that group.
 
-    Only ids, sizes and hashes are shuffled, never texts.  The join of rows to
-    groups may meet a group with a third of the rows; it is a plain equi-join,
-    whose skewed partitions adaptive execution splits.
+    Only ids, sizes and hashes are shuffled, never texts.  A group with a large
+    part of the rows is looked up in a bounded broadcast, and rows of one id
+    (or none) are told apart by a stored row number, so neither ends in one
+    task.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = materialise(
@@ -164,9 +165,11 @@ def shard(
             (F.octet_length(text).cast("long") + 1).alias("size"),
             F.crc32(text).alias("text_crc32"),
             F.md5(text).alias("group"),
+            F.monotonically_increasing_id().alias("row"),
         )
     )
-    groups = rows.groupBy("group").agg(F.sum("size").alias("size"))
-    placed = materialise(rows.join(assign_groups(groups, n_shards, bucket_groups, fan_in), "group"))
-    return number_slots(placed, "doc_id", slot_rows)
-
+    groups = materialise(rows.groupBy("group").agg(F.sum("size").alias("size"), F.count("*").alias("n")))
+    shards = assign_groups(groups.select("group", "size"), n_shards, bucket_groups, fan_in)
+    found = materialise(shards.join(groups.select("group", "n"), "group"))
+    placed = materialise(join_hot(rows, found, "group", "shard"))
+    return number_slots(placed, ["doc_id", "row"], slot_rows).drop("row")

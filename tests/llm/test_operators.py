@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, decontaminate, embedding_dedup, license_scan, near_dedup, pii, queries, sharding, token_count, warc
+from docloom.llm import byte_bpe, common, decontaminate, embedding_dedup, license_scan, near_dedup, pii, queries, sharding, token_count, warc
 from docloom.session import table
 from tests.oracle import compare
 
@@ -168,6 +168,16 @@ def test_warc(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
+def test_warc_wide(spark, monkeypatch):
+    """Extra columns, a very long page, and digests both above and below the share at which they're broadcast."""
+    monkeypatch.setattr(common, "HOT_KEYS", 3)
+    rows = [(k, "u", "h" * 3000, 1) for k in range(40)] + [(100 + k, "u", f"{k // 2}" * 1500, 2) for k in range(12)] + [(200, "u", "z" * 3_000_000, 3)]
+    pages = spark.createDataFrame([(i, u, h, n, "x", "y") for i, u, h, n in rows], "page_id long, url string, html string, n long, twin string, response string")
+    got = {r["page_id"]: r["refers_to"] for r in warc.round_trip(pages).collect()}
+    want = {k: 39 for k in range(39)} | {39: None, 200: None} | {100 + k: None if k % 2 else 101 + k for k in range(12)}
+    assert got == want
+
+
 # 5
 
 
@@ -367,8 +377,35 @@ def test_sharding(spark, docs, odd):
     for s in range(16):
         assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
     assert sizes.max() - sizes.min() <= 2 * sizes.mean() / 1000
-    assert sharding.shard(odd, 3, bucket_groups=2, fan_in=2, slot_rows=2).count() == odd.count()
+    placed = sharding.shard(odd, 3, bucket_groups=2, fan_in=2, slot_rows=2).collect()
+    want = sorted((str(r["doc_id"]), len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())) for r in odd.collect())
+    assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in placed) == want
+    for s in range(3):
+        assert sorted(r["slot"] for r in placed if r["shard"] == s) == list(range(sum(r["shard"] == s for r in placed)))
     assert sharding.shard(odd.limit(0), 3).count() == 0
+    every = sorted((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in ((r["doc_id"], r["text"]) for r in table(spark, "/root/testdata/sf0.01", "documents").collect()))
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == every
+
+
+def test_sharding_one_group(spark):
+    df = spark.createDataFrame([(None if k % 3 else 7, "same") for k in range(500)] + [(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    rows = sharding.shard(df, 4, slot_rows=50).collect()
+    assert len({r["shard"] for r in rows if r["size"] == 5}) == 1 and len(rows) == 520
+    for s in range(4):
+        assert sorted(r["slot"] for r in rows if r["shard"] == s) == list(range(sum(r["shard"] == s for r in rows)))
+
+
+@pytest.mark.parametrize("hot_keys", [1, 4, 4096])
+def test_join_hot(spark, monkeypatch, hot_keys):
+    monkeypatch.setattr(common, "HOT_KEYS", hot_keys)
+    keys = ["a"] * 50 + ["b"] * 30 + ["c"] * 3 + ["d"] + [None] * 9
+    rows = spark.createDataFrame(list(enumerate(keys)), "i long, k string")
+    found = spark.createDataFrame([("a", 1, 50), ("b", 2, 30), ("c", 3, 3)], "k string, v int, n long")
+    got = common.join_hot(rows, found, "k", "v").collect()
+    value = {"a": 1, "b": 2, "c": 3}
+    assert sorted((r["i"], r["v"] or 0) for r in got) == [(i, value.get(k, 0)) for i, k in enumerate(keys)]
+    assert sorted(got[0].asDict()) == ["i", "k", "v"]
+    assert common.join_hot(rows, found.limit(0), "k", "v").filter("v is null").count() == len(keys)
 
 
 def test_differencing():
