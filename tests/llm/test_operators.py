@@ -504,3 +504,29 @@ def test_pipeline(spark, library):
         assert library.encode_ordinary(r["decoded"]) == list(r["ids"]) and not pii.emails(r["decoded"])
         if not brute_spans(text[r["doc_id"]]):
             assert r["decoded"] == (text[r["doc_id"]] or "")
+
+
+def test_pipeline_odd(spark, tmp_path):
+    """Null ids and texts, empty and very long texts, repeated rows, copies, clashing columns, and empty tables."""
+    import corpus_pipeline
+
+    item = "the quick brown fox jumps over the lazy dog again today"
+    long = "Lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor. " * 3000
+    rows = [(1, None), (2, ""), (3, "  \n\t "), (4, "a b c d"), (4, "a b c d"), (9, "a b c d"), (None, "a b c d"), (5, long), (6, long)]
+    rows += [(7, f"so {item} it went"), (8, "ask Zoltan at zq@example.org")]
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t or ""), "h", 1, "k", "s") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, text_hash string, y int, key string, spans string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", items)):
+        df.write.parquet(f"{tmp_path}/odd/{name}.parquet")
+        df.limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
+    got = [(r["doc_id"], r["decoded"]) for r in corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()]
+    assert sorted(i or -1 for i, _ in got) == [-1, 1, 2, 3, 4, 4, 5, 8]
+    text = dict(got)
+    assert text[1] == text[2] == "" and text[3] == "  \n\t " and text[4] == text[None] == "a b c d" and text[5] == long
+    assert "[EMAIL]" in text[8] and "zq@" not in text[8]
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+    kept = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, f"{tmp_path}/odd")
+        assert kept.columns == docs.columns
