@@ -293,9 +293,8 @@ def near_duplicates(
     link of the others.  An empty table gives an empty table; other columns are
     ignored.
 
-    Links are never missing between identical vectors; between others recall
-    is that of the probed lists (measured in the tests; every link reported is
-    exact).
+    Every link reported is exact, and none is missing: one of two partners
+    always looks into the other's list (held against brute force in the tests).
     """
     rows = materialise(_packed(df, id_col, vector_col, label_col))
     able = rows.filter("vec_id is not null and label is not null and vec is not null")
