@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import byte_bpe, decontaminate, embedding_dedup, license_scan, near_dedup, pii, quality, sharding, token_count, warc
+from docloom.llm import byte_bpe, decontaminate, divergence, embedding_dedup, infill, license_scan, main_text, near_dedup, pii, quality, sharding, token_count, warc
 from docloom.session import table
 
 
@@ -96,6 +96,31 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document arranged to fill in its middle, and its text rebuilt."""
+    made = infill.arranged(table(spark, sf_dir, "documents"))
+    chars = lambda c: F.char_length(c).cast("long")
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        chars("prefix").alias("prefix_chars"),
+        chars("middle").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language diverge, and their telling terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         f.__name__: f
@@ -110,6 +135,9 @@ def queries() -> dict:
             op8_near_dedup,
             op9_sharding,
             op10_embedding_dedup,
+            op11_fill_in_middle,
+            op12_html_extraction,
+            op13_source_divergence,
         )
     }
 
@@ -199,6 +227,85 @@ from v join least using (vec_id) left join n using (vec_id)
 """
 
 
+_OP11 = r"""
+with d as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u,
+         sha256('42:' || coalesce(cast(doc_id as varchar), '')) as h
+  from documents
+), c as (
+  select doc_id, text, u, len(u) as n, cast('0x' || h[1:8] as bigint) % (len(u) + 1) as x, cast('0x' || h[9:16] as bigint) % (len(u) + 1) as y,
+         case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or cast('0x' || h[17:24] as bigint) % 100 >= 50 then 'plain'
+              when cast('0x' || h[25:32] as bigint) % 100 < 80 then 'spm' else 'psm' end as form
+  from d
+), p as (
+  select doc_id, text, n, form, array_to_string(u[1 : least(x, y)], '') as prefix, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') as middle,
+         array_to_string(u[greatest(x, y) + 1 : n], '') as suffix
+  from c
+)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256
+from p
+"""
+
+#: For pages of the tables' form: their main text stands in one article element, without elements to leave out.
+_OP12 = r"""
+with a as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?is)<article>(.*)</article>', 1) as x from pages
+), t as (
+  select page_id, url, regexp_replace(regexp_replace(x, '(?i)</?(?:p|h1|br|li|ul|div)>', ' ', 'g'), '<[^>]*>', '', 'g') as x from a
+), e as (
+  select page_id, url, replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as x from t
+), s as (
+  select page_id, url, trim(regexp_replace(x, '\s+', ' ', 'g')) as text from e
+)
+select page_id, url, text, cast(length(text) as bigint) as n_chars from s
+"""
+
+_OP13 = r"""
+with d as (
+  select row_number() over () as doc, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{80}-\x{10FFFF}]+') as w
+  from documents
+), g as (
+  select distinct lang, source from d
+), o as (
+  select lang, source, term, doc, count(*) as c from (select lang, source, doc, unnest(w) as term from d) group by all
+), k as (
+  select lang, term, cast(sum(c) as bigint) as c from o group by all having count(*) >= 3
+), v as (
+  select lang, count(*) as v, cast(sum(c) as bigint) as n from k group by lang
+), s as (
+  select o.lang, o.source, o.term, cast(sum(o.c) as bigint) as c from o join k using (lang, term) group by all
+), m as (
+  select lang, source, cast(sum(c) as bigint) as n from s group by all
+), n as (
+  select g.lang, g.source, v.v, coalesce(m.n, 0) as n from g join v using (lang) left join m using (lang, source)
+), p as (
+  select n.lang, n.source, k.term, coalesce(s.c, 0) as c, 1 + 1000000000 * (coalesce(s.c, 0) + 1) // (n.n + n.v) as p
+  from n join k using (lang) left join s on s.lang = n.lang and s.source = n.source and s.term = k.term
+), q as (
+  select k.lang, k.term, 1 + 1000000000 * (k.c + 1) // (v.n + v.v) as q from k join v using (lang)
+), pairs as (
+  select a.lang, a.source, b.source as item, cast(sum((a.p - b.p) * (a.p - b.p) // b.p) as bigint) as value
+  from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), every as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(pairs.value, 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join pairs on pairs.lang = a.lang and pairs.source = a.source and pairs.item = b.source
+  union all
+  select p.lang, p.source, 'term', p.term, (p.p - q.q) * (p.p - q.q) // q.q from p join q using (lang, term) where p.c > 0 and p.p > q.q
+), ranked as (
+  select lang, source, part, item, cast(value as bigint) as value,
+         cast(row_number() over (partition by lang, source, part order by value desc, encode(item)) as int) as rank
+  from every
+)
+select * from ranked where part = 'pair' or rank <= 200
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_decontamination": _OP3,
@@ -206,4 +313,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": license_scan.oracle(),
         "op8_near_dedup": _OP8,
         "op10_embedding_dedup": _OP10,
+        "op11_fill_in_middle": _OP11,
+        "op12_html_extraction": _OP12,
+        "op13_source_divergence": _OP13,
     }

@@ -32,7 +32,7 @@ def odd(spark):
 
 
 def test_registered():
-    assert sorted(queries.queries()) == sorted(x for x in queries.queries() if re.fullmatch(r"op\d+_\w+", x)) and len(queries.queries()) == 10
+    assert sorted(queries.queries()) == sorted(x for x in queries.queries() if re.fullmatch(r"op\d+_\w+", x)) and len(queries.queries()) == 13
 
 
 # 1
