@@ -37,13 +37,12 @@ def first_wins(edits: DataFrame, key: list[str], order: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, incoming: DataFrame, key: str, seq: str | None = None) -> DataFrame:
-    """Rows of ``incoming`` replace those of the same key; of several of one key the last by ``seq`` (without it any one)."""
-    if seq is None:
-        incoming = incoming.dropDuplicates([key])
-    else:
-        place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc(seq)))
-        incoming = incoming.withColumn("__place", place).filter("__place = 1").drop("__place", seq)
-    return base.join(incoming.select(key), key, "left_anti").unionByName(incoming)
+    """Rows of ``incoming`` replace those of the same key; of several of one key the last by ``seq``, without it the largest by its columns in order."""
+    others = [c for c in incoming.columns if c != key]
+    by = [seq, *(c for c in others if c != seq)] if seq else others
+    last = incoming.groupBy(key).agg(F.max(F.struct(*by)).alias("__last"))
+    fresh = last.select(key, *(F.col(f"__last.{c}") for c in others if c != seq))
+    return base.join(fresh.select(key), key, "left_anti").unionByName(fresh.select(*base.columns))
 
 
 def guarded_delete(rows: DataFrame, key: str, doomed: Column, protected: DataFrame) -> DataFrame:

@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHORT = 25
 
 
-def line_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, pos, line): the lines of each text, numbered from 1."""
-    return df.select(id_col, F.posexplode(F.split(text_col, "\n")).alias("p", "line")).select(id_col, (F.col("p") + 1).cast("long").alias("pos"), "line")
-
-
 #: A text of these characters alone is in NFKC already: ASCII, Latin letters, dashes, quotes, the euro, CJK and whole Hangul syllables.
 _NORMAL = "\\x00-\\x7F\u00a1-\u00a7\u00a9\u00ab-\u00ae\u00b0\u00b1\u00b6\u00b7\u00bb\u00bf-\u0131\u0152\u0153\u2012-\u2015\u2018-\u2022\u20ac\u4e00-\u9fff\uac00-\ud7a3"
 
 
-def _nfkc(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
-
-
 def nfkc(text: Column) -> Column:
-    """The text in NFKC; what is so by its characters alone doesn't go through Python."""
-    other = text.rlike(f"[^{_NORMAL}]")
-    return F.when(other, F.pandas_udf(_nfkc, "string")(F.when(other, text))).otherwise(text)
+    """The text in NFKC, by the normaliser that Spark's own collations use; only where a character may need it."""
+    form = F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
+    return F.when(text.rlike(f"[^{_NORMAL}]"), form).otherwise(text)
 
 
 def match_key(text: Column) -> Column:
@@ -39,18 +27,24 @@ def short(line: Column) -> Column:
     return F.char_length(line) <= SHORT
 
 
-def clipped(text: Column, most: int) -> Column:
-    """At most ``most`` characters, the last replaced by an ellipsis where cut."""
-    return F.when(F.char_length(text) > most, F.concat(F.substring(text, 1, most - 1), F.lit("…"))).otherwise(text)
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value made once, however often it is used, inside lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def runs(items: Column, opens) -> Column:
-    """Consecutive elements of an array as arrays: a new one begins at each element for which ``opens(element, previous)`` holds."""
-    n = F.size(items)
-    pairs = F.transform(items, lambda x, i: F.struct(x.alias("x"), F.get(items, i - 1).alias("p")))
-    at = F.filter(F.transform(pairs, lambda z, i: F.when((i == 0) | F.coalesce(opens(z["x"], z["p"]), F.lit(False)), i)), lambda i: i.isNotNull())
-    ends = F.concat(F.slice(at, 2, F.greatest(F.size(at), F.lit(1))), F.array(n))
-    return F.when(n > 0, F.zip_with(at, ends, lambda a, b: F.slice(items, a + 1, F.coalesce(b - a, F.lit(0)))))
+    """Consecutive elements of an array as arrays: a new one begins at each element for which ``opens(element, previous)`` holds.
+
+    The time is linear in the array.
+    """
+
+    def cut(xs: Column) -> Column:
+        n = F.size(xs)
+        begins = lambda x, i: (i == 0) | F.coalesce(opens(x, F.get(xs, i - 1)), F.lit(False))
+        at = F.filter(F.transform(xs, lambda x, i: F.when(begins(x, i), i)), lambda i: i.isNotNull())
+        return F.when(n > 0, bound(at, lambda a: F.transform(a, lambda k, j: F.slice(xs, k + 1, F.coalesce(F.get(a, j + 1), n) - k))))
+
+    return bound(items, cut)
 
 
 def _numbered(text: Column) -> Column:

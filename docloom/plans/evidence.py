@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import align, facets, fields, graph, labels, lens, mining, pagetext, review, scoring, tables, textops, validate
+from docloom.operators import align, continuation, facets, fields, graph, labels, lens, mining, pagetext, review, scoring, tables, textops, validate
 from docloom.session import table
 from docloom.sources import files, sinks
 
@@ -54,22 +54,23 @@ def q10_page_assembly(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q11_continuation_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Lines laid out on a page of 600 points, the short ones indented."""
-    lines = table(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("p", "text"))
-    y = F.col("p") * 20.0
-    blocks = lines.filter("text <> ''").select(
-        "doc_id",
-        F.lit(1).cast("long").alias("page_no"),
-        F.col("p").cast("long").alias("pos"),
-        "text",
-        pagetext.unit_type(F.col("text")).alias("block_type"),
-        F.when(textops.short(F.col("text")), 80.0).otherwise(60.0).alias("x0"),
-        y.alias("y0"),
-        F.least(F.lit(540.0), F.char_length("text") * 6.0 + 80).alias("x1"),
-        (y + 12).alias("y1"),
-        F.lit(600.0).alias("page_width"),
-    )
-    return pagetext.continuations_merged(blocks).select("doc_id", "pos", "merged", "block_type", F.sha2("text", 256).alias("text_sha256"))
+    """Lines laid out on a page of 600 points, the short ones indented; a page is a row's array from the text on."""
+
+    def block(line, p):
+        y = p * 20.0
+        return F.struct(
+            pagetext.unit_type(line).alias("block_type"),
+            line.alias("text"),
+            F.when(textops.short(line), 80.0).otherwise(60.0).alias("x0"),
+            y.alias("y0"),
+            F.least(F.lit(540.0), F.char_length(line) * 6.0 + 80).alias("x1"),
+            (y + 12).alias("y1"),
+            F.lit(600.0).alias("page_width"),
+        )
+
+    pages = table(spark, d, "documents").select("doc_id", F.filter(F.transform(F.split("text", "\n"), block), lambda b: b["text"] != "").alias("blocks"))
+    out = continuation.merged_pages(pages).select("doc_id", F.posexplode("blocks").alias("p", "b"))
+    return out.select("doc_id", (F.col("p") + 1).cast("long").alias("pos"), "b.merged", "b.block_type", F.sha2("b.text", 256).alias("text_sha256"))
 
 
 def q15_span_alignment(spark: SparkSession, d: str) -> DataFrame:
@@ -121,7 +122,7 @@ def q54_ocr_noise_cluster(spark: SparkSession, d: str) -> DataFrame:
     boxes = e.select(
         "user_id",
         F.lit(1).cast("long").alias("page_no"),
-        F.format_string("%s %.1f", "event_type", "value").alias("text"),
+        F.format_string("%s %d", "event_type", F.floor("value")).alias("text"),
         (F.least(F.col("value"), F.lit(100.0)) / 100).alias("score"),
         (F.col("event_id") % 5 * 100.0).alias("x0"),
         (F.col("event_id") % 40 * 25.0).alias("y0"),
@@ -420,10 +421,13 @@ def q88_partitioned_sink(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q89_upsert_unique(spark: SparkSession, d: str) -> DataFrame:
-    """Rows put in by a primary and a second unique key; of several of one key the last counts."""
+    """Rows put in one by one by a primary and a second unique key, of which some clash with each other on either."""
     base = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")
-    fresh = base.filter("c_custkey % 3 = 0").select("c_custkey", F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("Customer#"), F.lpad((F.col("c_custkey") + 1).cast("string"), 9, "0"))).otherwise(F.col("c_name")).alias("c_name"))
-    fresh = fresh.withColumn("seq", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("c_acctbal", F.col("seq").cast("double"))
+    name = lambda k: F.concat(F.lit("Customer#"), F.lpad((F.col("c_custkey") + k).cast("string"), 9, "0"))
+    rows = [F.struct(F.lit(1).alias("j"), name(0).alias("c_name")), F.struct(F.lit(2).alias("j"), name(3).alias("c_name")), F.struct(F.lit(3).alias("j"), name(1).alias("c_name"))]
+    of = F.when(F.col("c_custkey") % 2 == 0, F.array(*rows)).otherwise(F.array(*rows[:2]))
+    fresh = base.filter("c_custkey % 3 = 0").select("c_custkey", F.explode(of).alias("r"))
+    fresh = fresh.select("c_custkey", "r.c_name", F.col("r.j").cast("double").alias("c_acctbal"), (F.col("c_custkey") * 10 + F.col("r.j")).alias("seq"))
     return sinks.replaced(base, fresh, [["c_custkey"], ["c_name"]], "seq")
 
 

@@ -118,8 +118,10 @@ union all select o_orderkey, 'priority' from orders where not regexp_matches(o_o
     "q88_partitioned_sink": "select o_orderstatus, count(*) as n from orders where o_orderstatus <> 'P' group by 1",
     "q90_cascade_counts": """with d as (select o_orderkey from orders where o_orderstatus = 'P') select 'deleted orders' as name, count(*) as n from d union all select 'left orders', (select count(*) from orders) - count(*) from d
 union all select 'deleted lineitem', count(*) from lineitem where l_orderkey in (select o_orderkey from d) union all select 'left lineitem', count(*) from lineitem where l_orderkey not in (select o_orderkey from d)""",
-    "q89_upsert_unique": """with f as (select c_custkey, case when c_custkey % 2 = 0 then 'Customer#' || lpad(cast(c_custkey + 1 as varchar), 9, '0') else c_name end as c_name, 2.0::double as c_acctbal from customer where c_custkey % 3 = 0)
-select * from f union all select c_custkey, c_name, c_acctbal from customer where c_custkey not in (select c_custkey from f) and c_name not in (select c_name from f)""",
+    "q89_upsert_unique": """with c as (select c_custkey as k, unnest(case when c_custkey % 2 = 0 then [1, 2, 3] else [1, 2] end) as j from customer where c_custkey % 3 = 0),
+f as (select k, 'Customer#' || lpad(cast(k + [0, 3, 1][j] as varchar), 9, '0') as n, j, k * 10 + j as seq from c)
+select k as c_custkey, n as c_name, cast(j as double) as c_acctbal from f where not exists (select 1 from f g where g.seq > f.seq and (g.k = f.k or g.n = f.n))
+union all select c_custkey, c_name, c_acctbal from customer where c_custkey not in (select k from f) and c_name not in (select n from f)""",
     "q91_update_blank_keeps": "select c_custkey, c_name, case when c_custkey % 2 = 0 and c_custkey % 4 <> 0 then 'NEW' else c_mktsegment end as c_mktsegment from customer",
     "q92_load_pack": "select 'region' as name, 3::bigint as n_before, count(*) as n_after from region union all select 'nation', count(*) filter (n_regionkey < 3), count(*) from nation",
     "q94_page_fallback": """with t as (select doc_id, coalesce(text, '') as o, coalesce(case doc_id % 3 when 0 then '' when 1 then left(text, 20) else text end, '') as p from documents),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.sources.files import exists
@@ -39,24 +39,26 @@ def manifest(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def last_wins(rows: DataFrame, keys: list[str], seq: str) -> DataFrame:
-    """Of rows of equal keys the one with the largest ``seq``."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(seq)))
-    return rows.withColumn("__place", place).filter("__place = 1").drop("__place")
+def _whole(key: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key))
 
 
 def replaced(base: DataFrame, incoming: DataFrame, keys: list[list[str]], seq: str) -> DataFrame:
-    """``base`` with the incoming rows put in: a row goes where an incoming one has an equal key, be it the primary or another unique one.
-
-    Of incoming rows of equal keys the last by ``seq`` counts; a unique key
-    with a null in it equals none.
+    """``base`` with the incoming rows put in one by one in the order of ``seq``, which differs from row to row.
+
+    A row that is put in deletes all rows that share a key with it, be it the
+    primary or another unique one; a key with a null in it clashes with none.
+    Every incoming row is put in, if only for a while.  So a base row goes if
+    any incoming one shares a key with it, also one that is deleted later; and
+    an incoming row stays if it is the last one with each of its keys.  Both
+    are plain joins: the last of each key is aggregated before rows move, and
+    is met by key and ``seq`` together, so that a frequent key is no hot one.
     """
+    fresh = incoming
     for key in keys:
-        whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in key))
-        incoming = last_wins(incoming.filter(whole), key, seq).unionByName(incoming.filter(~whole))
-    fresh = incoming.drop(seq)
-    for key in keys:
-        base = base.join(fresh.select(*key), key, "left_anti").select(*base.columns)
+        last = incoming.filter(_whole(key)).groupBy(*key).agg(F.max(seq).alias(seq))
+        fresh = fresh.join(last, [*key, seq], "left_semi").unionByName(fresh.filter(~_whole(key)))
+        base = base.join(last.select(*key), key, "left_anti").select(*base.columns)
     return base.unionByName(fresh.select(*base.columns))
 
 
