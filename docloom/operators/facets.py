@@ -119,3 +119,19 @@ def nodes(cells: DataFrame, scale: float = 2.0, least: float = 6.0, most: float
     sides = [kept.groupBy(F.col(c).alias("name")).agg(F.sum("n_contents").alias("weight")).select(F.lit(c).alias("side"), "name", "weight") for c in ("policy", "domain")]
     radius = F.least(F.greatest(F.sqrt("weight") * scale, F.lit(least)), F.lit(most))
     return sides[0].unionByName(sides[1]).withColumn("radius", F.round(radius, 4))
+
+
+def pivoted(cells: DataFrame, row: str, column: str, value: str, catalogue: list[str]) -> DataFrame:
+    """(row, a column for each entry of the catalogue): the sums of ``value``, 0 where there is nothing.
+
+    The catalogue fixes the columns and their order; an entry without cells
+    stays, and what it doesn't list isn't shown.
+    """
+    return cells.groupBy(row).pivot(column, catalogue).agg(F.sum(value)).na.fill(0)
+
+
+def collated(rows: DataFrame, group: str, label: str, locale: str = "ko") -> DataFrame:
+    """(group, label, place): each group's different labels in a locale's order; what it holds for equal, in the order of code points."""
+    labels = rows.select(group, label).filter(F.col(label).isNotNull()).distinct()
+    order = Window.partitionBy(group).orderBy(F.collate(label, locale), F.col(label))
+    return labels.withColumn("place", F.row_number().over(order))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,3 +109,20 @@ def regrouped(rows: DataFrame, policy: str, domain: str, group: str, order: str)
     """(policy, groups): domain-rooted groups put below their policy, each once, where it was seen first."""
     first = rows.groupBy(policy, group).agg(F.min(F.struct(order, domain)).alias("at"))
     return first.groupBy(policy).agg(F.array_sort(F.collect_list(F.struct(F.col(f"at.{order}").alias("seq"), F.col(group).alias("group"), F.col(f"at.{domain}").alias("domain")))).alias("groups"))
+
+
+def polymorphic(links: DataFrame, dimensions: dict[str, DataFrame], kind: str = "kind", key: str = "key") -> DataFrame:
+    """Links with the ``label`` of what they name, each in the dimension of its kind: one left join to the union of the dimensions.
+
+    A dimension has ``key`` and ``label``; a kind or key that isn't there gives null.
+    """
+    every = reduce(DataFrame.unionByName, (d.select(F.lit(name).alias(kind), F.col(key).cast("string").alias("__key"), "label") for name, d in dimensions.items()))
+    return links.withColumn("__key", F.col(key).cast("string")).join(every, [kind, "__key"], "left").drop("__key")
+
+
+def drill_down(top: DataFrame, steps: list[tuple[DataFrame, list[tuple[str, str]]]]) -> DataFrame:
+    """``top`` with each step left-joined on pairs of columns, the fan-out kept: one row for each path, also for one that ends early."""
+    out = top
+    for rows, on in steps:
+        out = out.join(rows, reduce(lambda a, b: a & b, (F.col(x) == F.col(y) for x, y in on)), "left")
+    return out

@@ -77,4 +77,51 @@ select user_id, g as row, concat(coalesce(c0, ''), ' | ', coalesce(c1, ''), ' |
   select doc_id, regexp_replace(lower(text), '\s+', '', 'g') as k from documents
 )
 select term, count(*) as n_docs from v join d on contains(k, term) group by term""",
+    "q102_document_commits": """with l as (select doc_id, unnest(range(0, len(s))) as pos, unnest(s) as line from (select doc_id, string_split(text, chr(10)) as s from documents where text is not null)),
+c as (select doc_id, count(*) as n, count(*) filter (pos > 0) as m, bool_or(contains(line, '***')) as junk, coalesce(bool_or(line = '') filter (pos > 0), false) as short from l group by 1),
+a as (select doc_id, 1 as version, case when n is null then 'missing_source' when junk then 'failed lines: junk' else 'completed' end as status, case when not junk then n else 0 end as n_rows
+      from (select doc_id from documents union all select -doc_id - 1 from documents) left join c using (doc_id) where doc_id % 3 <> 0),
+b as (select doc_id, 2 as version, case when status = 'completed' then 'skipped_existing' when c.n is null then 'missing_source' when junk then 'failed lines: junk' else 'completed' end as status,
+      case when status is not distinct from 'completed' or coalesce(junk, true) then 0 else n end as n_rows from documents left join c using (doc_id) left join a using (doc_id) where doc_id % 2 = 0),
+e as (select doc_id, 3 as version, case when short then 'failed lines: short' when coalesce(m, 0) = 0 then 'missing_source' else 'completed' end as status, case when short then 0 else coalesce(m, 0) end as n_rows
+      from documents left join c using (doc_id) where doc_id % 5 = 0),
+u as (select * from a union all select * from b union all select * from e)
+select * from u union all select doc_id, 0, 'now', arg_max(n_rows, version) from u where status = 'completed' group by doc_id""",
+    "q103_hierarchy_rollup": """with p as (select r_regionkey, n_nationkey, c_custkey, o_orderkey, l_partkey from region left join nation on r_regionkey = n_regionkey left join customer on n_nationkey = c_nationkey
+  left join orders on c_custkey = o_custkey left join lineitem on o_orderkey = l_orderkey)
+select case when grouping(r_regionkey) = 1 then 0 when grouping(n_nationkey) = 1 then 1 when grouping(c_custkey) = 1 then 2 when grouping(o_orderkey) = 1 then 3 else 4 end as level,
+  r_regionkey, n_nationkey, c_custkey, o_orderkey, case when grouping(r_regionkey) = 1 then count(distinct r_regionkey) end as n_r_regionkey,
+  case when grouping(n_nationkey) = 1 then count(distinct n_nationkey) end as n_n_nationkey, case when grouping(c_custkey) = 1 then count(distinct c_custkey) end as n_c_custkey,
+  case when grouping(o_orderkey) = 1 then count(distinct o_orderkey) end as n_o_orderkey, count(distinct l_partkey) as n_l_partkey
+from p group by rollup(r_regionkey, n_nationkey, c_custkey, o_orderkey)
+having (grouping(o_orderkey) = 1 or o_orderkey is not null) and (grouping(c_custkey) = 1 or c_custkey is not null) and (grouping(n_nationkey) = 1 or n_nationkey is not null)""",
+    "q104_nested_export": """with o as (select o_custkey, o_orderkey, o_orderkey || ':' || coalesce(string_agg(l_linenumber || l_returnflag, '' order by l_linenumber, l_returnflag), '') as t from orders left join lineitem on o_orderkey = l_orderkey group by 1, 2),
+c as (select c_nationkey, c_custkey, c_custkey || '[' || coalesce(string_agg(t, ',' order by o_orderkey), '') || ']' as t from customer left join o on c_custkey = o_custkey group by 1, 2)
+select c_nationkey, count(*) as n_customers, sha256(string_agg(t, ';' order by c_custkey)) as tree_sha256 from c group by 1""",
+    "q105_shapes_as_rows": """with n as (select l_orderkey as k, count(distinct l_partkey) as n from lineitem group by 1)
+select 'o' || o_orderkey as subject, 'Order' as class, 'status' as path, 'minCount' as rule, 0::bigint as found from orders where o_orderkey % 9 = 0
+union all select 'o' || o_orderkey, 'Order', 'date', 'datatype', 1 from orders where o_orderkey % 7 = 0
+union all select 'o' || o_orderkey, 'Order', 'part', 'minCount', 0 from orders where o_orderkey not in (select k from n)
+union all select 'o' || k, 'Order', 'part', 'maxCount', n from n where n > 5
+union all select 'c' || c_custkey, 'Customer', 'segment', 'datatype', 1 from customer
+union all select 'c' || c_custkey, 'Customer', 'placed', 'minCount', 0 from customer where c_custkey not in (select o_custkey from orders)""",
+    "q106_resolved_ids": """with a as (select distinct l_orderkey as old_id, l_partkey as e from lineitem), b as (select distinct o_custkey as new_id, l_partkey as e from orders join lineitem on o_orderkey = l_orderkey),
+f as (select e, count(*) as n from b group by 1 having count(*) <= 1000), g as (select e from a group by 1 having count(*) <= 1000),
+p as (select old_id, new_id, cast(round(sum(1000000.0::double / n)) as bigint) as weight from a join f using (e) join g using (e) join b using (e) group by 1, 2),
+r as (select *, max(weight) over (partition by old_id) as top, max(weight) over (partition by new_id) as bid from p),
+s as (select *, count(*) filter (weight = top) over (partition by old_id) as nt, count(*) filter (weight = bid) over (partition by new_id) as nb from r),
+t as (select *, row_number() over (partition by old_id order by new_id) as k from s where weight = top)
+select o.old_id, t.new_id, t.weight, case when t.new_id is null then 'none' when nt > 1 then 'tied' when weight < bid or nb > 1 then 'outbid' else 'matched' end as outcome
+from (select distinct old_id from a) o left join (select * from t where k = 1) t using (old_id)""",
+    "q107_fixed_pivot": """select c_nationkey, count(*) filter (o_orderpriority = '1-URGENT') as "1-URGENT", count(*) filter (o_orderpriority = '2-HIGH') as "2-HIGH", 0::bigint as "0-NONE",
+  count(*) filter (o_orderpriority = '3-MEDIUM') as "3-MEDIUM", count(*) filter (o_orderpriority = '5-LOW') as "5-LOW" from orders join customer on o_custkey = c_custkey group by 1""",
+    "q108_polymorphic_links": """select l_orderkey, l_linenumber, ['part', 'supplier', 'nation', 'other'][l_linenumber % 4 + 1] as kind,
+  case l_linenumber % 4 when 0 then l_partkey when 1 then l_suppkey else l_suppkey % 30 end as key, case l_linenumber % 4 when 0 then p_name when 1 then s_name when 2 then n_name end as label
+from lineitem left join part on p_partkey = l_partkey left join supplier on s_suppkey = l_suppkey left join nation on n_nationkey = l_suppkey % 30""",
+    "q109_drill_down": """select c_custkey, o_orderkey, l_linenumber, p_name, s_name, n_name, r_name from customer left join orders on c_custkey = o_custkey left join lineitem on o_orderkey = l_orderkey
+left join part on l_partkey = p_partkey left join supplier on l_suppkey = s_suppkey left join nation on s_nationkey = n_nationkey left join region on n_regionkey = r_regionkey""",
+    "q110_collated_labels": """with w as (select distinct role, unnest(regexp_extract_all(text, '[A-Za-z]+')) as word from conversations)
+select role, word, cast(row_number() over (partition by role order by lower(word), translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', repeat('b', 26) || repeat('a', 26)), word) as int) as place from w""",
+    "q111_observed_write": """with a as (select 'before' as state, * from orders where o_orderstatus <> 'P' union all select unnest(['after', 'stored']), * from orders where o_orderkey % 4 > 0)
+select state, cast(count(*) as double) as n, cast(count(*) filter (o_orderstatus = 'O') as double) as n_open, max(o_totalprice) as largest from a group by 1""",
 }

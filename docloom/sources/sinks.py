@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from docloom.sources.files import exists
@@ -93,17 +93,22 @@ def updated(base: DataFrame, decisions: DataFrame, key: str, fields: list[str])
     return out.select(*base.columns)
 
 
-def swap(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Write beside ``path`` and put it in place at the end: a failure leaves what was there."""
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """A folder that has been written beside ``path`` in its place."""
     jvm = spark._jvm
-    staged, old = (f"{path}.{k}-{uuid.uuid4().hex}" for k in ("new", "old"))
-    df.write.parquet(staged)
-    target = jvm.org.apache.hadoop.fs.Path(path)
+    target, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.old-{uuid.uuid4().hex}"))
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(target):
-        fs.rename(target, jvm.org.apache.hadoop.fs.Path(old))
+        fs.rename(target, old)
     fs.rename(jvm.org.apache.hadoop.fs.Path(staged), target)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    fs.delete(old, True)
+
+
+def swap(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Write beside ``path`` and put it in place at the end: a failure leaves what was there."""
+    staged = f"{path}.new-{uuid.uuid4().hex}"
+    df.write.parquet(staged)
+    put_in_place(spark, staged, path)
 
 
 def load_pack(spark: SparkSession, folder: str, order: list[tuple[str, list[str]]], rows: dict[str, DataFrame], seq: str = "seq") -> list[tuple[str, int, int]]:
@@ -121,3 +126,19 @@ def load_pack(spark: SparkSession, folder: str, order: list[tuple[str, list[str]
             swap(spark, replaced(base, rows[name], [key], seq), f"{folder}/{name}")
         out.append((name, before, spark.read.parquet(f"{folder}/{name}").count()))
     return out
+
+
+def written_with(df: DataFrame, path: str, metrics: dict[str, Column]) -> dict[str, object]:
+    """Write ``df`` and return aggregates of it that were taken while it was written, without a second scan."""
+    seen = Observation()
+    df.observe(seen, *(c.alias(n) for n, c in metrics.items())).write.parquet(path)
+    return seen.get
+
+
+def replaced_with(spark: SparkSession, df: DataFrame, path: str, metrics: dict[str, Column]) -> tuple[dict, dict]:
+    """Put ``df``, which may be made from the table at ``path``, in its place; the metrics of what was there and of what is there now."""
+    before = spark.read.parquet(path).agg(*(c.alias(n) for n, c in metrics.items())).first().asDict()
+    staged = f"{path}.new-{uuid.uuid4().hex}"
+    after = written_with(df, staged, metrics)
+    put_in_place(spark, staged, path)
+    return before, after

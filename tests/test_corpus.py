@@ -7,9 +7,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import continuation, pagetext, scoring, tables, textops, vocabulary
+from docloom.operators import continuation, facets, hierarchy, lens, pagetext, resolve, scoring, shapes, tables, textops, vocabulary
 from docloom.plans import catalogue, corpus_oracles
-from docloom.sources import sinks
+from docloom.sources import commits, sinks
 from tests.oracle import compare
 
 SF = "/root/testdata/sf0.001"
@@ -148,3 +148,92 @@ def test_tables_rebuilt(spark):
     boxes = [(1, 1, 60.0 * k, 100.0 * c + 9 * (k % 2), 12.0, f"{t} of text", 0.95) for k, r in enumerate(cells) for c, t in enumerate(r) if t]
     df = spark.createDataFrame(boxes, "id int, page_no int, y0 double, x0 double, height double, text string, score double")
     assert rows(tables.rebuilt(df, "id", [90.0], ["noname"])) == [(1, 1, ["No Name of text", "x of text"]), (1, 2, ["a of text d of text", "b of text c of text"]), (1, 3, ["e of text", "f of text"])]
+
+
+# commits by document
+
+
+def test_a_failing_document_fails_alone(spark, tmp_path):
+    store = commits.Store(spark, str(tmp_path / "store"))
+    docs = spark.createDataFrame([(1, "a b"), (2, "c"), (3, "boom"), (4, None), (None, "x"), (1, "z")], "doc_id long, text string")
+
+    def words(pdf):
+        if (pdf["text"] == "boom").any():
+            raise ValueError("no such word " * 100)
+        return pdf.dropna().assign(word=lambda x: x["text"].str.split()).explode("word")[["doc_id", "word"]]
+
+    rows_of = lambda df: commits.attempted(df, "doc_id", words, "doc_id long, word string")
+    with pytest.raises(FileNotFoundError):
+        store.table("words")
+    got = {r["doc_id"]: r for r in store.load(docs, {"words": rows_of(docs.filter("doc_id is not null"))}).collect()}
+    assert {k: r["run_status"] for k, r in got.items()} == {1: "completed", 2: "completed", 3: "failed", 4: "missing_source"}
+    assert got[3]["notes"].startswith("words: ValueError: no such word") and len(got[3]["notes"]) <= commits.NOTE and got[1]["n_rows"] == 3
+    assert rows(store.table("words"), "doc_id", "word") == [(1, "a"), (1, "b"), (1, "z"), (2, "c")]
+    # a rerun in which 1 fails leaves its rows, and mends 3
+    again = spark.createDataFrame([(1, "boom"), (2, "new"), (3, "fine")], "doc_id long, text string")
+    store.load(again, {"words": rows_of(again)}, rerun=True)
+    assert rows(store.table("words"), "doc_id", "word") == [(1, "a"), (1, "b"), (1, "z"), (2, "new"), (3, "fine")]
+    before = store.manifest()
+    with pytest.raises(Exception, match="stop"):  # a load that breaks off leaves nothing
+        store.load(again, {"words": again.select("doc_id", F.raise_error(F.lit("stop")).cast("string").alias("word"))}, rerun=True)
+    assert store.manifest() == before and len(list((tmp_path / "store" / "loads").iterdir())) == 2
+    stale = {**before, "version": before["version"]}
+    with pytest.raises(FileExistsError):
+        store._publish(stale)
+    store.compacted()
+    assert len(store.manifest()["loads"]) == 1 and rows(store.table("words"), "doc_id", "word") == [(1, "a"), (1, "b"), (1, "z"), (2, "new"), (3, "fine")]
+    assert {r["run_status"] for r in store.load(again, {"words": rows_of(again)}).collect()} == {"skipped_existing"}
+
+
+def test_empty_loads(spark, tmp_path):
+    store = commits.Store(spark, str(tmp_path / "store"))
+    none = spark.createDataFrame([], "doc_id long, v int")
+    assert store.load(none, {"t": none}).count() == 0 and store.table("t").count() == 0
+
+
+# hierarchies, shapes, ids, read models
+
+
+def test_rollup_counts(spark):
+    rng = random.Random(4)
+    paths = [tuple(rng.choice([None, 0, 1, 2]) if k else rng.choice([0, 1, None]) for k in range(4)) for _ in range(150)]
+    df = spark.createDataFrame(paths, "a int, b int, c int, d int")
+    got = {tuple(r[c] for c in ("level", "a", "b", "c")): tuple(r[f"n_{c}"] for c in "abcd") for r in hierarchy.rollup(df, list("abcd")).collect()}
+    cut = {p[: next((k for k, x in enumerate(p) if x is None), 4)] for p in paths}
+    nodes = {(k, *(*p[:k], None, None, None)[:3]) for p in cut for k in range(min(len(p), 3) + 1)}
+    want = {n: tuple(None if k < n[0] else len({p[k] for p in cut if len(p) > k and p[: n[0]] == n[1 : n[0] + 1]}) for k in range(4)) for n in nodes}
+    assert got == want
+    assert rows(hierarchy.rollup(df.limit(0), list("abcd"))) == []
+
+
+def test_nested_levels(spark):
+    df = spark.createDataFrame([(1, 10, 100, "x"), (1, 10, 100, "a"), (1, 11, None, None), (2, None, None, None)], "a int, b int, c int, d string")
+    got = {r["a"]: r["bs"] for r in hierarchy.nested(df, [("bs", ["a"]), ("cs", ["b"]), ("ds", ["c"])], ["d"]).collect()}
+    assert [(b["b"], [(c["c"], [d["d"] for d in c["ds"]]) for c in b["cs"]]) for b in got[1]] == [(10, [(100, ["a", "x"])]), (11, [])] and got[2] == []
+
+
+def test_shapes(spark):
+    nodes = spark.createDataFrame([("s", "A"), ("s", "A"), ("t", "A"), ("u", "B")], "subject string, class string")
+    facts = spark.createDataFrame([("s", "p", "1"), ("s", "p", "1"), ("t", "p", "1"), ("t", "p", "x"), ("u", "p", "x"), ("u", "q", None)], "subject string, path string, value string")
+    rules = spark.createDataFrame([("A", "p", 1, 1, "integer"), ("B", "p", 0, None, "string"), ("B", "q", 1, None, None), ("C", "p", 9, 9, None)], shapes.SHAPES)
+    assert rows(shapes.violations(nodes, facts, rules), "subject", "path", "rule", "found") == [("t", "p", "datatype", 1), ("t", "p", "maxCount", 2), ("u", "q", "minCount", 0)]
+    values = {"integer": ("12", "1.5"), "decimal": ("1.5", "x"), "boolean": ("true", "7x"), "date": ("2024-02-29", "2023-02-29"), "dateTime": ("2024-01-01 10:00:00", "noon")}
+    for kind, (good, bad) in values.items():
+        assert tuple(spark.range(1).select(shapes.fits(F.lit(good), F.lit(kind)), shapes.fits(F.lit(bad), F.lit(kind)), shapes.fits(F.lit(bad), F.lit(None))).first()) == (True, False, True)
+
+
+def test_resolved_ids(spark):
+    old = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 1), ("e", 9), ("f", None), ("g", 7)], "old_id string, evidence int")
+    new = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), ("C", 3), ("D", 4), ("D", 4), *((f"h{k}", 7) for k in range(5))], "new_id string, evidence int")
+    got = rows(resolve.resolved(old, new, most_holders=4), "old_id", "new_id", "outcome")
+    assert got == [("a", "A", "matched"), ("b", "B", "tied"), ("c", "D", "matched"), ("d", "A", "outbid"), ("e", None, "none"), ("f", None, "none"), ("g", None, "none")]
+
+
+def test_read_models(spark):
+    cells = spark.createDataFrame([("x", "a", 2), ("x", "z", 5), ("y", "b", 1), ("x", "a", 1)], "r string, c string, v int")
+    assert [tuple(r) for r in facets.pivoted(cells, "r", "c", "v", ["b", "none", "a"]).orderBy("r").collect()] == [("x", 0, 0, 3), ("y", 1, 0, 0)]
+    labels = spark.createDataFrame([(1, "전략"), (1, "인재"), (1, "apple"), (1, "Apple"), (1, "가"), (1, "가"), (1, None)], "g int, l string")
+    assert [r["l"] for r in facets.collated(labels, "g", "l").orderBy("place").collect()] == ["가", "인재", "전략", "apple", "Apple"]
+    links = spark.createDataFrame([("p", "1"), ("q", "1"), ("p", "2"), ("r", "1"), (None, "1"), ("p", None)], "kind string, key string")
+    dims = {"p": spark.createDataFrame([(1, "one")], "key int, label string"), "q": spark.createDataFrame([("1", "uno")], "key string, label string")}
+    assert sorted(map(repr, map(tuple, lens.polymorphic(links, dims).select("kind", "key", "label").collect()))) == sorted(map(repr, [("p", "1", "one"), ("q", "1", "uno"), ("p", "2", None), ("r", "1", None), (None, "1", None), ("p", None, None)]))
