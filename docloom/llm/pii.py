@@ -5,14 +5,19 @@ protected entities.  A term discloses an entity as far as seeing the term tells
 that the entity is there: over all documents, with N documents, df(t) that hold
 the term, df(e) that hold the entity and df(t, e) that hold both anywhere,
 
-    PMI(t; e) = log2(N * df(t, e) / (df(t) * df(e))),   IC(e) = log2(N / df(e)).
-
-A term that stands near the entity somewhere and whose PMI reaches ``share`` of
-the entity's whole information IC is above the disclosure threshold, however
-rare the entity is: each place of it in every document that holds the entity
-becomes a span of kind ``term``.  Documents without the entity stay as they
-are.  Sanitising replaces base spans by their kind and generalises or removes
-such terms.
+    PMI(t; e) = log2(P(e | t) / P(e)),   P(e | t) = df(t, e) / df(t),   IC(e) = log2(1 / P(e)),   P(e) = df(e) / N.
+
+Few documents say little: one that a rare word shares with an entity seen once
+may be chance.  So P(e | t) is not the ratio itself but the lower end of its
+confidence interval (Wilson's, of ``CONFIDENCE`` standard deviations): 1 of 1
+counts as 0.5, 1 of 10 as 0.04.  A term that stands near the entity somewhere
+and whose PMI reaches ``share`` of the entity's whole information IC so is
+above the disclosure threshold.  An entity that is seen once is revealed by
+terms that hardly any other document has; the more often both are seen
+together, the more frequent the term may be.  Each place of the term in every
+document that holds the entity becomes a span of kind ``term``.  Documents
+without the entity stay as they are.  Sanitising replaces base spans by their
+kind and generalises or removes such terms.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.common import bloom_has, bloom_of, id_and_text, materialise, texts
@@ -34,8 +39,8 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 #: Words, and characters at most, on either side of an entity that count as near it.
 REACH, REACH_CHARS = 8, 160
-#: The share of an entity's information that a term may not reach.
-SHARE = 0.5
+#: The share of an entity's information that a term may not reach, and the standard deviations by which chance is allowed for.
+SHARE, CONFIDENCE = 0.7, 1.0
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -275,24 +280,32 @@ def term_counts(df: DataFrame, wanted: np.ndarray, text_col: str = "text", flush
     )
 
 
+def sure_part(k: Column, n: Column, z: float = CONFIDENCE) -> Column:
+    """The lower end of Wilson's interval of the ratio ``k / n``; it grows with ``k``."""
+    p, zz = k / n, z * z
+    return (p + zz / (2 * n) - z * F.sqrt(p * (1 - p) / n + zz / (4 * n * n))) / (1 + zz / n)
+
+
 def disclosing_terms(
     df: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE
 ) -> tuple[DataFrame, DataFrame]:
     """(entity, term): the pairs above the disclosure threshold; and what ``mentions`` gave, stored.  ``found``: what ``find`` gave, stored."""
     docs = float(found.count())
     near = materialise(found.select(F.explode("near").alias("x")).select("x.*").distinct())
-    of_entity = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("df_entity"))
+    of_entity = materialise(found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("df_entity")))
     of_term = term_counts(df, bloom_of(near.select("term_hash").distinct(), "term_hash"), text_col)
-    information = F.log2(F.lit(docs) / F.col("df_entity"))
-    # no more documents hold both than hold either: this bound loses no pair
-    most = F.log2(F.lit(docs) / F.greatest("df_term", "df_entity"))
-    able = materialise(near.join(of_entity, "entity").join(of_term, "term").filter((information > 0) & (most >= share * information)))
+    # P(e | t) is to reach P(e) ** (1 - share); an entity of all documents tells nothing
+    threshold = F.pow(F.col("df_entity") / docs, F.lit(1 - share))
+    # neither filter loses a pair: no more documents hold both than hold either, and a frequent term can't pass with any entity
+    most = of_entity.agg(F.max("df_entity")).first()[0] or 0
+    of_term = of_term.filter(sure_part(F.least("df_term", F.lit(most)), F.col("df_term")) >= max(docs, 1.0) ** (share - 1))
+    able = near.join(of_term, "term").join(of_entity, "entity")
+    able = materialise(able.filter((F.col("df_entity") < docs) & (sure_part(F.least("df_term", "df_entity"), F.col("df_term")) >= threshold)))
     there = materialise(
         mentions(df, bloom_of(able.select("term_hash").distinct(), "term_hash"), bloom_of(able.selectExpr("entity_hash ^ term_hash as pair_hash"), "pair_hash"), id_col, text_col)
     )
     both = there.select(F.explode("pairs").alias("x")).select("x.*").groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pmi = F.log2(F.lit(docs) * F.col("both") / (F.col("df_term") * F.col("df_entity")))
-    return materialise(able.join(both, ["entity", "term"]).filter(pmi >= share * information).select("entity", "term")), there
+    return materialise(able.join(both, ["entity", "term"]).filter(sure_part(F.col("both"), F.col("df_term")) >= threshold).select("entity", "term")), there
 
 
 def personal_data(

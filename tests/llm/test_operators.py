@@ -260,6 +260,47 @@ def test_pii_terms_throughout(spark):
     assert terms == {1: ["Kim", "Li", "4711", "김철수"] * 2}
 
 
+def test_pii_pairs_equal_plain_counts(spark, docs):
+    """Every pair of an entity and a near term against counts of whole documents in a loop."""
+    rows = [*docs, (9001, "write to Zoltan Quimby at zq@example.org"), (9002, "Zoltan Quimby again, zq@example.org or 10.1.2.3"), (9003, "Zoltan alone"), (9004, None)]
+    n = len(rows)
+    held = [(pii.base_spans(t or ""), {w.lower() for w in re.findall(r"[^\W_]+", t or "")}, t or "") for _, t in rows]
+    entities = [set(pii._entities(t, f)) for f, _, t in held]
+    free = [{w for w, *_ in pii._free(t, pii._masks(f))} for f, _, t in held]
+    near = set().union(*(pii.neighbourhoods(t, f) for f, _, t in held))
+    z = pii.CONFIDENCE
+
+    def passes(e, w):
+        df_e, df_w = sum(e in x for x in entities), sum(w in x for _, x, _ in held)
+        k = sum(e in x and w in y for x, y in zip(entities, free, strict=True))
+        low = (k / df_w + z * z / (2 * df_w) - z * np.sqrt(k / df_w * (1 - k / df_w) / df_w + z * z / (4 * df_w**2))) / (1 + z * z / df_w)
+        return df_e < n and np.log2(low * n / df_e) >= pii.SHARE * np.log2(n / df_e)
+
+    want = sorted((e, w) for e, w in near if passes(e, w))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, _ = pii.disclosing_terms(df, common.materialise(pii.find(df)))
+    assert sorted((r["entity"], r["term"]) for r in got.collect()) == want
+    assert {("email:zq@example.org", "quimby")} <= set(want) and ("email:zq@example.org", "at") not in want
+
+
+def test_pii_names_go_and_words_stay(spark, docs):
+    """Names planted beside addresses are found, each of them; of the other words there hardly any."""
+    texts = {i: t for i, t in docs if t}
+    planted = {i: f"Zq{i}x" for i in list(texts)[::4]}
+    cut = {i: max(t.rfind(" ", 0, len(t) // 2), 0) for i, t in texts.items()}  # between two words
+    rows = [(i, f"{t[: cut[i]]} {planted[i]} c{i}@example.org {t[cut[i] :]}" if i in planted else t) for i, t in texts.items()]
+    # the words around become ordinary ones: other documents have them too
+    rows += [(100_000 + 10 * i + k, t) for i, t in texts.items() for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got, _ = pii.disclosing_terms(df, common.materialise(pii.find(df)))
+    pairs = {(r["entity"], r["term"]) for r in got.collect()}
+    ours = {(f"email:c{i}@example.org", name.lower()) for i, name in planted.items()}
+    near = set().union(*(pii.neighbourhoods(dict(rows)[i], {"email": pii.emails(dict(rows)[i])}) for i in planted))
+    others = {x for x in near if x[0].startswith("email:c") and x not in ours}
+    assert ours <= pairs and len(others) > 300
+    assert len(others & pairs) < 0.05 * len(others)
+
+
 # 7
 
 
