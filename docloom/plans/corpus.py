@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import facets, hierarchy, lens, resolve, shapes, textops, vocabulary
+from docloom.operators import facets, hierarchy, lens, pagetext, resolve, sections, shapes, textops, vocabulary
 from docloom.plans.evidence import _folder
 from docloom.session import table
 from docloom.sources import commits, sinks
@@ -126,3 +126,23 @@ def q111_observed_write(spark: SparkSession, d: str) -> DataFrame:
     before, after = sinks.replaced_with(spark, rows.filter("o_orderkey % 4 > 0"), path, metrics)
     stored = spark.read.parquet(path).agg(*(c.alias(n) for n, c in metrics.items())).first().asDict()
     return spark.createDataFrame([(k, *(float(x[m]) for m in metrics)) for k, x in (("before", before), ("after", after), ("stored", stored))], "state string, n double, n_open double, largest double")
+
+
+# sections
+
+
+def q112_section_cleanup(spark: SparkSession, d: str) -> DataFrame:
+    """Each document as a section of line blocks, cleaned; words that fit the test text."""
+    words = sections.Words(main_heading="(?i)the|les|der|los", label="(?i)^licensed.*$")
+    block = lambda x: F.struct(pagetext.unit_type(x).alias("block_type"), x.alias("text"), F.lit(1).cast("long").alias("lines"), F.lit(1).cast("long").alias("merged"), F.expr("cast(array() as array<string>)").alias("actions"))
+    docs = table(spark, d, "documents").select("doc_id", F.transform(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""), block).alias("blocks"))
+    rows = docs.select("doc_id", F.posexplode(sections.cleaned(F.col("blocks"), words)).alias("pos", "b"))
+    return rows.select("doc_id", "pos", "b.block_type", "b.merged", F.array_join("b.actions", "|").alias("actions"), F.sha2("b.text", 256).alias("text_sha256"))
+
+
+def q113_structured_units(spark: SparkSession, d: str) -> DataFrame:
+    """The sentences of each page's text, every seventh made a note, every fifth a citation, as units."""
+    words = F.filter(F.split(F.regexp_replace("html", "<[^>]*>", " "), r"(?<=[.])\s"), lambda x: F.trim(x) != "")
+    marked = F.transform(words, lambda x, i: F.when(i % 7 == 3, F.concat(F.lit("※ "), F.trim(x))).when(i % 5 == 4, F.lit("(’24 note)")).otherwise(F.concat(F.lit(" "), x)))
+    rows = table(spark, d, "pages").select("page_id", F.posexplode(sections.structured_units(marked)).alias("pos", "u"))
+    return rows.select("page_id", "pos", "u.lines", F.sha2("u.text", 256).alias("text_sha256"))

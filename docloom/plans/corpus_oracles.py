@@ -124,4 +124,13 @@ left join part on l_partkey = p_partkey left join supplier on l_suppkey = s_supp
 select role, word, cast(row_number() over (partition by role order by lower(word), translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz', repeat('b', 26) || repeat('a', 26)), word) as int) as place from w""",
     "q111_observed_write": """with a as (select 'before' as state, * from orders where o_orderstatus <> 'P' union all select unnest(['after', 'stored']), * from orders where o_orderkey % 4 > 0)
 select state, cast(count(*) as double) as n, cast(count(*) filter (o_orderstatus = 'O') as double) as n_open, max(o_totalprice) as largest from a group by 1""",
+    "q113_structured_units": r"""with h as (select page_id, string_split(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\.\s', '.' || chr(1), 'g'), chr(1)) as s from pages),
+w as (select page_id, [x for x in s if trim(x, ' ') <> ''] as s from h), l as (select page_id, unnest(range(0, len(s))) as i, unnest(s) as x from w),
+m as (select page_id, i, case when i % 7 = 3 then '※ ' || trim(x, ' ') when i % 5 = 4 then '(’24 note)' else trim(x, ' ') end as t from l),
+o as (select *, regexp_matches(t, '^(?:[-*]+|[ㅇ□▪•⦁◦➊➋➌➍➎➏➐➑➒➓☞⇒⇨])\s*|^\*{1,2}\s*\S|^※|^[①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮⑯⑰⑱⑲⑳]\s*\S|^[ⅠⅡⅢⅣⅤⅥⅦⅧⅨⅩ]+(?:[.)]\s*|\s+)|^\d+[.)]\s*\S') as opens from m where t <> ''),
+p as (select *, sum(cast(opens as int)) over (partition by page_id order by i) as piece from o),
+c as (select *, not first_value(regexp_matches(t, '^(?:※|\*{1,2}\s*\S)')) over (partition by page_id, piece order by i) and regexp_matches(t, '^\(.*[’'']?\d{2}.*\)$') as cites,
+      row_number() over (partition by page_id, piece order by i) = 1 as first from p),
+u as (select *, sum(cast(first or cites as int)) over (partition by page_id order by i) - 1 as pos from c)
+select page_id, cast(pos as int) as pos, count(*) as lines, sha256(string_agg(t, ' ' order by i)) as text_sha256 from u group by page_id, pos""",
 }

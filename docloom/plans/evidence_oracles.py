@@ -54,16 +54,22 @@ n as (select *, case when x in (1, 2, 3, 4, 9, 10) then 'layout_false_positive'
   ['front_matter_table', 'single_cell_layout_box', 'single_row_layout_box', 'floating_layout_box', 'hwpx_matrix_table', 'hwpx_grid_table', 'single_column_info_box', 'hwpx_needs_manual_review', 'small_hwpx_layout_box',
    'single_row_small_box', 'wide_text_fragment', 'shape_based', 'needs_manual_review'][x] as reason from w)
 select k as l_orderkey, table_class, reason, case table_class when 'structured_table' then 'yes' when 'layout_false_positive' then 'no' else 'review' end as keep from n""",
-    "q59_ocr_noise": """with t as (select doc_id, replace(left(string_split(text, chr(10))[1], 12), ' ', '') as c, n_chars % 100 / 100.0 as s from documents),
+    "q59_ocr_noise": """with l as (select doc_id, n_chars, unnest(range(0, len(x))) as pos, unnest(x) as line from (select *, string_split(text, chr(10)) as x from documents)), t as (select doc_id, cast(pos as int) as pos, replace(line, ' ', '') as c, n_chars % 100 / 100.0 as s from l),
 n as (select *, length(c) as n, len(regexp_extract_all(c, '[가-힣A-Za-z0-9]')) / greatest(length(c), 1) as r, regexp_full_match(c, '[^\\p{L}\\p{N}]+') as signs from t)
-select doc_id, n = 0 or s < 0.65 or (n <= 4 and s < 0.85) or (r < 0.45 and s < 0.9) or signs as support, n = 0 or s < 0.6 or (n <= 2 and s < 0.85) or (r < 0.4 and s < 0.9) or signs as reference from n""",
-    "q60_skip_reasons": f"""with c as (select doc_id, trim(regexp_replace(string_split(text, chr(10))[1], '\\s+', ' ', 'g')) as t from documents), k as (select *, {_STRONG} + {_ACTION} > 0 as acts, length(t) as n from c)
-select doc_id, case when t like 'Copyright%' then 'section_scaffold' when regexp_matches(t, '^\\(?\\d+\\)?\\s*(?:items?|개)') then 'group_count_scaffold' when regexp_matches(t, '^(?:\\*|e\\.g\\.|예\\))') then 'example_scaffold'
+select doc_id, pos, n = 0 or s < 0.65 or (n <= 4 and s < 0.85) or (r < 0.45 and s < 0.9) or signs as support, n = 0 or s < 0.6 or (n <= 2 and s < 0.85) or (r < 0.4 and s < 0.9) or signs as reference from n""",
+    "q60_skip_reasons": f"""with l as (select doc_id, unnest(range(0, len(x))) as pos, unnest(x) as line from (select *, string_split(text, chr(10)) as x from documents)), c as (select doc_id, cast(pos as int) as pos, trim(regexp_replace(line, '\\s+', ' ', 'g')) as t from l), k as (select *, {_STRONG} + {_ACTION} > 0 as acts, length(t) as n from c)
+select doc_id, pos, case when t like 'Copyright%' then 'section_scaffold' when regexp_matches(t, '^\\(?\\d+\\)?\\s*(?:items?|개)') then 'group_count_scaffold' when regexp_matches(t, '^(?:\\*|e\\.g\\.|예\\))') then 'example_scaffold'
   when t like 'Licensed%' and not acts then 'context_scaffold' when contains(right(t, 50), 'zz') and not contains(t, 'ing') then 'background_tail' when {_NEGATIVE} and not acts then 'background_statement'
   when n <= 40 and not acts then 'short_paragraph_scaffold' when (length(t) - length(replace(t, '[', '')) >= 3 or length(t) - length(replace(t, '→', '')) >= 2 or length(t) - length(replace(t, '․', '')) >= 4) and not acts then 'diagram_or_schedule_paragraph'
   when n >= 150 and not acts then 'long_background_paragraph' when not acts and n <= 80 then 'no_action_no_taxonomy' end as skip from k""",
-    "q63_draft_pack": """with o as (select l_orderkey as k, count(*) as n from lineitem where l_orderkey % 7 = 0 group by 1)
-select part, k % 10 as bucket, cast(sum(m) as bigint) as n from (select k, unnest(['groups', 'members', 'contents', 'links', 'displays', 'assertions']) as part, unnest([1, n, n, n * n, 1, 1]) as m from o) group by all""",
+    "q63_draft_pack": """with l as (select l_orderkey as k, list(l_linenumber order by l_linenumber, l_partkey) as i, list(l_partkey order by l_linenumber, l_partkey) as c, count(*) as n from lineitem group by 1),
+c as (select k, unnest(range(0, n)) as p, unnest(c) as text from l), m as (select k, unnest(range(0, n)) as p, unnest(i) as item from l), d as (select k, p, text, k || '-C' || lpad(cast(p + 1 as varchar), 2, '0') as id from c)
+select 'groups' as part, format('{{"l_orderkey":{},"n_contents":{},"n_items":{}}}', k, n, n) as row from l
+union all select 'members', format('{{"is_representative":{},"item":{},"l_orderkey":{}}}', case when p = 0 then 'true' else 'false' end, item, k) from m
+union all select 'contents', format('{{"content_id":"{}","display_order":{},"l_orderkey":{},"text":{}}}', id, p + 1, k, text) from d
+union all select 'links', format('{{"content_id":"{}","item":{},"l_orderkey":{}}}', id, item, d.k) from d join m on d.k = m.k
+union all select 'displays', format('{{"l_orderkey":{},"title_text":{}}}', k, c[1]) from l
+union all select 'assertions', format('{{"l_orderkey":{},"status":"seed_draft"}}', k) from l""",
     "q64_apply_outputs": """with m as (select l.doc_id, case when quality = 0 and toxic = 1 then 'wrong' when toxic = 1 then 'none' else 'yes' end as c, d.doc_id is not null as there from labels l left join (select doc_id from documents where lang = 'en') d on d.doc_id = l.doc_id)
 select 'outcomes' as part, cast(doc_id as varchar) as id, case when c = 'wrong' then 'invalid_decision' when not there then case when doc_id % 2 = 0 then 'missing_target' else 'inactive_missing_target' end else 'applied' end as value from m
 union all select 'mappings', 'D-' || doc_id, unnest(['S-1:true:reviewed', 'S-2:false:reviewed']) from m where c = 'yes' and there
@@ -104,20 +110,23 @@ from lineitem join orders on l_orderkey = o_orderkey group by 1""",
     "q80_json_ld": f"""select {_IRI}nation/' || n_nationkey as subject, '{{"@id":"' || {_IRI}nation/' || n_nationkey || '","@type":"Nation","label":"' || n_name || '"' ||
   case when n_nationkey % 2 = 0 then ',"inRegion":"' || {_IRI}region/' || n_regionkey || '"' else '' end || '}}' as node from nation""",
     "q81_adjacency": "select n_regionkey, string_agg(cast(n_nationkey as varchar), ',' order by n_nationkey) as neighbours from nation group by 1",
-    "q82_coverage_checks": """with f as (select 'error' as level, 'no_source' as code, count(*) filter (source is null) as n from documents union all select 'warning', 'short_text', count(*) filter (n_chars < 50) from documents
-union all select 'error', 'no_text', count(*) filter (text is null) from documents
-union all select 'warning', 'label_coverage', cast(round(count(*) filter (doc_id in (select doc_id from labels)) / count(*), 4) < 0.9 as int) from documents
-union all select 'error', 'nations_of_region', count(*) from (select n_regionkey from nation group by 1 having count(*) <> 5) union all select 'error', 'regions', abs(count(*) - 5) from region)
+    "q82_coverage_checks": """with r as (select round(count(*) filter (doc_id in (select doc_id from labels)) / count(*), 4) as ratio from documents),
+f as (select 'error' as level, 'no_source' as code, count(*) filter (source is null) as n, null::double as ratio from documents union all select 'warning', 'short_text', count(*) filter (n_chars < 50), null from documents
+union all select 'error', 'no_text', count(*) filter (text is null), null from documents
+union all select 'warning', 'label_coverage', cast(ratio < 0.9 as int), ratio from r
+union all select 'error', 'nations_of_region', count(*), null from (select n_regionkey from nation group by 1 having count(*) <> 5) union all select 'error', 'regions', abs(count(*) - 5), null from region)
 select *, case when n = 0 then 'pass' when level = 'error' then 'fail' else 'warn' end as status from f""",
     "q83_contract": """select o_orderkey, 'status' as code from orders where o_orderstatus not in ('F', 'O') union all select o_orderkey, 'price' from orders where not o_totalprice > 1000
 union all select o_orderkey, 'priority' from orders where not regexp_matches(o_orderpriority, '^[1-3]-')""",
     "q84_ordered_lists": "select l_orderkey from lineitem group by 1 having list(l_linenumber order by l_linenumber) <> list(l_linenumber order by l_quantity, l_linenumber)",
     "q85_csv_round_trip": """select cast(doc_id as varchar) as id, sha256('a "q", ' || coalesce(text, '')) as sha256 from documents""",
-    "q86_json_round_trip": "select l_returnflag as flag, count(*) as rows, cast(sum(l_linenumber) as bigint) as total from lineitem where l_orderkey < 200 group by 1",
-    "q87_named_files": "select 'part' as kind, count(*) as n, min(n_name) as first from nation",
+    "q86_json_round_trip": "select l_orderkey as k, l_linenumber as n, l_returnflag as flag from lineitem",
+    "q87_named_files": "select cast(o_orderkey as varchar) as o_orderkey, o_orderpriority, c_mktsegment as segment from orders join customer on o_custkey = c_custkey where c_mktsegment in ('BUILDING', 'MACHINERY')",
     "q88_partitioned_sink": "select o_orderstatus, count(*) as n from orders where o_orderstatus <> 'P' group by 1",
-    "q90_cascade_counts": """with d as (select o_orderkey from orders where o_orderstatus = 'P') select 'deleted orders' as name, count(*) as n from d union all select 'left orders', (select count(*) from orders) - count(*) from d
-union all select 'deleted lineitem', count(*) from lineitem where l_orderkey in (select o_orderkey from d) union all select 'left lineitem', count(*) from lineitem where l_orderkey not in (select o_orderkey from d)""",
+    "q90_cascade_counts": """with p as (select * from orders where o_orderstatus = 'P'), d as (select o_orderkey from p where o_orderkey not in (select min(o_orderkey) from p group by o_custkey))
+select 'deleted orders' as name, count(*) as n from d union all select 'left orders', (select count(*) from orders) - count(*) from d
+union all select 'deleted lineitem', count(*) from lineitem where l_orderkey in (select o_orderkey from d) union all select 'left lineitem', count(*) from lineitem where l_orderkey not in (select o_orderkey from d)
+union all select 'aborted', cast(count(*) > 0 as int) from p""",
     "q89_upsert_unique": """with c as (select c_custkey as k, unnest(case when c_custkey % 2 = 0 then [1, 2, 3] else [1, 2] end) as j from customer where c_custkey % 3 = 0),
 f as (select k, 'Customer#' || lpad(cast(k + [0, 3, 1][j] as varchar), 9, '0') as n, j, k * 10 + j as seq from c)
 select k as c_custkey, n as c_name, cast(j as double) as c_acctbal from f where not exists (select 1 from f g where g.seq > f.seq and (g.k = f.k or g.n = f.n))

@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import continuation, facets, hierarchy, lens, pagetext, resolve, scoring, shapes, tables, textops, vocabulary
+from docloom.operators import continuation, facets, hierarchy, lens, pagetext, resolve, scoring, sections, shapes, tables, textops, vocabulary
 from docloom.plans import catalogue, corpus_oracles
 from docloom.sources import commits, sinks
 from tests.oracle import compare
@@ -237,3 +237,50 @@ def test_read_models(spark):
     links = spark.createDataFrame([("p", "1"), ("q", "1"), ("p", "2"), ("r", "1"), (None, "1"), ("p", None)], "kind string, key string")
     dims = {"p": spark.createDataFrame([(1, "one")], "key int, label string"), "q": spark.createDataFrame([("1", "uno")], "key string, label string")}
     assert sorted(map(repr, map(tuple, lens.polymorphic(links, dims).select("kind", "key", "label").collect()))) == sorted(map(repr, [("p", "1", "one"), ("q", "1", "uno"), ("p", "2", None), ("r", "1", None), (None, "1", None), ("p", None, None)]))
+
+
+# sections
+
+BLOCKS = "k int, b array<struct<block_type: string, text: string, lines: bigint, merged: bigint, actions: array<string>>>"
+
+
+def blocks(*pairs):
+    return [(kind, text, 1, 1, []) for kind, text in pairs]
+
+
+def test_sections(spark):
+    section = blocks(
+        ("paragraph", "cover text"), ("heading", "추진 배경 here"), ("paragraph", "II"), ("paragraph", "Title of it"), ("paragraph", "전 략"), ("paragraph", "a long paragraph with many words, more than enough"),
+        ("note", "※ one,"), ("paragraph", "① item"), ("paragraph", "a: b"), ("paragraph", "c"), ("paragraph", "Short head 1"), ("bullet", "- x"), ("paragraph", "ab"), ("paragraph", "cd"), ("bullet", "- last one"), ("paragraph", "Kim"), ("paragraph", "E-mail: x@y"),
+    )
+    df = spark.createDataFrame([(1, section), (2, []), (3, None), (4, blocks(*(("paragraph", c) for c in "abcdef")))], BLOCKS)
+    got = {r["k"]: r["c"] for r in df.select("k", sections.cleaned(F.col("b")).alias("c")).collect()}
+    assert [(b["block_type"], b["text"], b["merged"], "|".join(b["actions"])) for b in got[1]] == [
+        ("heading", "추진 배경 here", 1, ""), ("heading", "II Title of it", 2, "merged_ascii_roman_heading"), ("heading", "전략", 1, "normalized_compact_label|promoted_compact_label_heading"),
+        ("paragraph", "a long paragraph with many words, more than enough", 1, ""), ("note", "※ one, ① item", 2, "merged_note_continuation"), ("paragraph", "a: b c", 2, "merged_caption_continuation"),
+        ("heading", "Short head 1", 1, "promoted_short_heading"), ("bullet", "- x", 1, ""), ("bullet", "- last one", 1, ""),
+    ]
+    assert got[2] == [] and got[3] is None and got[4] == []
+    lines = F.array(*map(F.lit, ["a", "(’24 기준)", "b", "※ n", "(’23 x)", "c", "- d", " "]))
+    assert [tuple(u) for u in spark.range(1).select(sections.structured_units(lines).alias("u")).first()["u"]] == [("a", 1), ("(’24 기준) b", 2), ("※ n (’23 x) c", 3), ("- d", 1)]
+
+
+def test_pairs_against_a_loop(spark):
+    rng = random.Random(1)
+    data = [[rng.choice("abx") for _ in range(rng.randint(0, 12))] for _ in range(80)]
+    df = spark.createDataFrame([(k, blocks(*(("p", t) for t in x))) for k, x in enumerate(data)], BLOCKS)
+    made = sections.pairs_joined(F.col("b"), lambda a, b: (a["text"] != "x") & (b["text"] != "x"), lambda a, b: sections._block(a, "joined", text=F.concat(a["text"], b["text"])))
+    for r in df.select("k", made.alias("c")).collect():
+        rest, want = "".join(data[r["k"]]), []
+        while rest:
+            n = 2 if len(rest) > 1 and "x" not in rest[:2] else 1
+            want, rest = [*want, rest[:n]], rest[n:]
+        assert [b["text"] for b in r["c"]] == want
+
+
+def test_sections_in_linear_time(spark):
+    part = blocks(("paragraph", "some words of a longer line that stays"), ("bullet", "- x"), ("note", "※ y,"), ("paragraph", "① z"))
+    small, large = (spark.createDataFrame([(1, part * n)], BLOCKS).cache() for n in (2_500, 20_000))
+    small.count(), large.count()
+    times = [seconds(lambda df=df: df.select(F.size(sections.cleaned(F.col("b")))).collect()) for df in (small, large)]
+    assert times[1] < 16 * times[0] + 1
