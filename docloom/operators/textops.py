@@ -15,7 +15,9 @@ _NORMAL = "\\x00-\\x7F\u00a1-\u00a7\u00a9\u00ab-\u00ae\u00b0\u00b1\u00b6\u00b7\u
 def nfkc(text: Column) -> Column:
     """The text in NFKC, by the normaliser that Spark's own collations use; only where a character may need it."""
     form = F.call_function("reflect", F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), text, F.lit(True))
-    return F.when(text.rlike(f"[^{_NORMAL}]"), form).otherwise(text)
+    # a text of ASCII alone has as many bytes as characters; a whole match is looked for, as it is one tight loop
+    other = (F.octet_length(text) != F.char_length(text)) & ~text.rlike(rf"\A[{_NORMAL}]*\z")
+    return F.when(other, form).otherwise(text)
 
 
 def match_key(text: Column) -> Column:

@@ -422,7 +422,7 @@ def q87_named_files(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_orderpriority", "c_mktsegment")
     rows.write.partitionBy("c_mktsegment").option("header", True).csv(folder)
     known = spark.createDataFrame([("BUILDING",), ("MACHINERY",), ("NONE",)], "segment string")
-    return files.named_rows(spark, f"{folder}/*/*.csv", ["o_orderkey", "o_orderpriority"], r"c_mktsegment=([A-Z]+)/", "segment", known)
+    return files.named_rows(spark, f"{folder}/*/*.csv", ["o_orderkey", "o_orderpriority"], r"c_mktsegment=([A-Z]+)/", "segment", known, "file_path")
 
 
 def q88_partitioned_sink(spark: SparkSession, d: str) -> DataFrame:

@@ -47,13 +47,13 @@ def json_rows(spark: SparkSession, path: str, element: str, key: str = "blocks")
     return spark.read.text(path, wholetext=True).select(F.explode(lists).alias("x")).select("x.*")
 
 
-def named_rows(spark: SparkSession, glob: str, columns: list[str], pattern: str, id_col: str, known: DataFrame | None = None) -> DataFrame:
-    """CSV files of a glob with the id that ``pattern``'s first group finds in their paths; only known ids where they are given."""
+def named_rows(spark: SparkSession, glob: str, columns: list[str], pattern: str, id_col: str, known: DataFrame | None = None, of: str = "file_name") -> DataFrame:
+    """CSV files of a glob with the id that ``pattern``'s first group finds in their names, or in their paths where ``of`` is ``file_path``; only known ids where they are given."""
     if not exists(spark, glob):
         return spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in [*columns, id_col]]))
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = spark.read.csv(glob, header=True, multiLine=True, quote='"', escape='"', schema=schema)
-    rows = rows.select(*columns, F.regexp_extract("_metadata.file_path", pattern, 1).alias(id_col))
+    rows = rows.select(*columns, F.regexp_extract(f"_metadata.{of}", pattern, 1).alias(id_col))
     return rows if known is None else rows.join(known.select(id_col).distinct(), id_col, "left_semi")
 
 
