@@ -49,10 +49,9 @@ def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = ROUNDS
     centres = x[rng.choice(len(x), size=min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
         of = _nearest(x, centres)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, of, x)
         n = np.bincount(of, minlength=len(centres))
-        centres[n > 0] = sums[n > 0] / n[n > 0][:, None]
+        starts = np.cumsum(n) - n
+        centres[n > 0] = np.add.reduceat(x[np.argsort(of, kind="stable")], starts[n > 0]) / n[n > 0][:, None]
     return centres
 
 
@@ -104,34 +103,36 @@ def fit(vectors: np.ndarray, lists: int, seed: int = 11) -> Index:
     return index
 
 
-def _unit(raw: bytes, dim: int) -> np.ndarray:
-    x = np.frombuffer(raw, np.float64 if len(raw) == 8 * dim else np.float32).astype(np.float64)
-    return x / np.linalg.norm(x)
-
-
 def _units(raw: list[bytes], dim: int) -> np.ndarray:
+    """Stored vectors at length 1; the largest component is made 1 first, so that no square overflows or vanishes."""
     x = np.frombuffer(b"".join(raw), np.float64 if raw and len(raw[0]) == 8 * dim else np.float32).astype(np.float64).reshape(len(raw), dim)
+    x = x / np.abs(x).max(axis=1)[:, None]
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
+def _able(lists: pa.Array, single: bool) -> list[bytes | None]:
+    """The bytes of each vector that can link, out of the array's own buffers: neither null nor empty, all components finite, one not zero."""
+    lengths = np.asarray(lists.value_lengths().fill_null(0), np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    values = lists.flatten().cast(pa.float32() if single else pa.float64()).fill_null(math.nan)
+    x = values.to_numpy(zero_copy_only=False) + 0  # -0 counts as 0
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    odd = np.bincount(of[~np.isfinite(x)], minlength=len(lengths))
+    filled = np.bincount(of[x != 0], minlength=len(lengths))
+    raw, width = x.tobytes(), x.itemsize
+    return [raw[a * width : b * width] if ok else None for a, b, ok in zip(starts.tolist(), ends.tolist(), ((odd == 0) & (filled > 0)).tolist(), strict=True)]
+
+
 def _packed(df: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """(vec_id, label, dim, key, vec): vec is null where a vector can't link."""
     single = "float" in df.schema[vector_col].dataType.simpleString()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            dims, keys, vecs = [], [], []
-            for x in batch.column("v").to_pylist():
-                raw = None
-                if x and None not in x:
-                    with np.errstate(over="ignore"):
-                        y = np.array(x, np.float32 if single else np.float64)
-                    norm = float(np.linalg.norm(y.astype(np.float64)))
-                    if np.isfinite(y).all() and 0 < norm < math.inf:
-                        raw = (y + 0).tobytes()  # -0 counts as 0
-                dims.append(len(x) if raw else None)
-                keys.append(hashlib.blake2b(raw, digest_size=16).hexdigest() if raw else None)
-                vecs.append(raw)
+            vecs = _able(batch.column("v"), single)
+            dims = [len(v) // (4 if single else 8) if v else None for v in vecs]
+            keys = [hashlib.blake2b(v, digest_size=16).hexdigest() if v else None for v in vecs]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id"), batch.column("label"), pa.array(dims, pa.int32()), pa.array(keys, pa.string()), pa.array(vecs, pa.binary())],
                 ["vec_id", "label", "dim", "key", "vec"],
@@ -183,17 +184,31 @@ def _indexed(classes: DataFrame, indexes: dict[int, Index], radius: float) -> Da
 
 
 class _Forest:
-    """Labels of a block's vectors; merging keeps the smallest."""
+    """Sets of a block's vectors, by place; a set's root is its first place."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Each pair's sets become one: roots hang below smaller ones until no pair has two."""
+        while True:
+            a, b = self.root[a], self.root[b]
+            apart = a != b
+            if not apart.any():
+                return
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+            while (flat := self.root[self.root]).tobytes() != self.root.tobytes():
+                self.root = flat
 
-    def __init__(self, ids: np.ndarray):
-        self.label = ids.copy()
 
-    def join(self, mine: int, others: np.ndarray) -> None:
-        found = np.unique(self.label[others])
-        least = min(int(found[0]), int(self.label[mine]))
-        for x in (*found, self.label[mine]):
-            if x != least:
-                self.label[self.label == x] = least
+def _lookers(probes: list[np.ndarray], lists: np.ndarray) -> dict[int, np.ndarray]:
+    """For each of ``lists`` the residents that look into it."""
+    counts = np.array([len(p) for p in probes], np.int64)
+    flat = np.concatenate(probes) if counts.sum() else np.zeros(0, np.int64)
+    order = np.argsort(flat, kind="stable")
+    who, flat = np.repeat(np.arange(len(probes)), counts)[order], flat[order]
+    return {int(h): who[np.searchsorted(flat, h) : np.searchsorted(flat, h, "right")] for h in lists}
 
 
 def search_block(index: Index | None, at: int, queries: pd.DataFrame, residents: pd.DataFrame, dim: int, threshold: float) -> pd.DataFrame:
@@ -205,10 +220,10 @@ def search_block(index: Index | None, at: int, queries: pd.DataFrame, residents:
     homes = queries["home"].to_numpy()
     add_q, add_x = np.zeros(len(q_id), np.int64), np.zeros(len(x_id), np.int64)
     # a pair of two lists is counted in one of them: where its query is of the smaller list, or where only this side looks
-    looks = {int(h): np.array([h in p for p in map(set, residents["probes"])]) for h in set(homes.tolist()) if h > at}
+    looks = _lookers(residents["probes"].tolist(), np.unique(homes[homes > at]))
     ids = np.concatenate([q_id, x_id])
     order, back = np.unique(ids, return_inverse=True)
-    forest = _Forest(order)
+    forest = _Forest(len(order))
     codes = np.frombuffer(b"".join(residents["codes"].tolist()), np.uint8).reshape(len(x_id), -1) if index else None
     reach = (radius + residents["error"].to_numpy() + 1e-6) ** 2
     for lo in range(0, len(q_id), ROWS):
@@ -222,8 +237,8 @@ def search_block(index: Index | None, at: int, queries: pd.DataFrame, residents:
                 far += table[:, codes[:, j]]
             near = far <= reach
         near &= q_id[lo:hi, None] != x_id[None]
-        for h, seen in looks.items():
-            near[np.ix_(homes[lo:hi] == h, seen)] = False
+        for h in np.unique(homes[lo:hi][homes[lo:hi] > at]):
+            near[np.ix_(homes[lo:hi] == h, looks[int(h)])] = False
         some = np.flatnonzero(near.any(0))
         if not len(some):
             continue
@@ -231,9 +246,9 @@ def search_block(index: Index | None, at: int, queries: pd.DataFrame, residents:
         add_q[lo:hi] += linked @ x_n[some]
         foreign = homes[lo:hi] != at
         add_x[some] += linked[foreign].T @ q_n[lo:hi][foreign]
-        for r in np.flatnonzero(linked.any(1)):
-            forest.join(back[lo + r], back[len(q_id) + some[linked[r]]])
-    out = pd.DataFrame({"id": ids, "links": np.concatenate([add_q, add_x]), "to": forest.label[back]})
+        r, c = np.nonzero(linked)
+        forest.join(back[lo + r], back[len(q_id) + some[c]])
+    out = pd.DataFrame({"id": ids, "links": np.concatenate([add_q, add_x]), "to": order[forest.root[back]]})
     return out[(out["links"] > 0) | (out["to"] != out["id"])]
 
 

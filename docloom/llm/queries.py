@@ -207,9 +207,12 @@ _OP10 = """
 with recursive v as (
   select vec_id, label, cast(embedding as double[]) as x from embeddings
 ), u as (
-  select vec_id, label, x, sqrt(list_dot_product(x, x)) as norm from v where label is not null and x is not null and len(x) = len(list_filter(x, lambda c: c is not null and isfinite(c)))
+  select vec_id, label, x, list_max(list_transform(x, lambda c: abs(c))) as most from v
+  where label is not null and len(x) > 0 and len(x) = len(list_filter(x, lambda c: c is not null and isfinite(c)))
+), w as (
+  select vec_id, label, list_transform(x, lambda c: c / most) as x from u where most > 0
 ), ok as (
-  select * from u where norm > 0 and isfinite(norm)
+  select *, sqrt(list_dot_product(x, x)) as norm from w
 ), links as (
   select a.vec_id as a, b.vec_id as b from ok a join ok b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x)
   where list_dot_product(a.x, b.x) / (a.norm * b.norm) >= 0.93

@@ -501,15 +501,54 @@ def test_embedding_lists():
 
 
 def test_embedding_recall(spark):
+    """Each vector's links and component against brute force, on a table with links within and across lists."""
     rng = np.random.default_rng(4)
     centres = rng.standard_normal((200, 48))
     x = np.repeat(centres, 15, axis=0) + 0.22 * rng.standard_normal((3000, 48))
-    df = spark.createDataFrame([(i, [float(v) for v in r], 1) for i, r in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    df = spark.createDataFrame([(i, [float(v) for v in r], i % 2) for i, r in enumerate(x)], "vec_id long, embedding array<float>, label int")
     u = x.astype(np.float32).astype(float)
     u /= np.linalg.norm(u, axis=1)[:, None]
-    want = int(((u @ u.T) >= 0.93).sum()) - len(u)
-    got = sum(r["n_links"] for r in embedding_dedup.near_duplicates(df, block=500).collect())
-    assert want > 10_000 and got == want
+    linked = (u @ u.T >= 0.93) & (np.arange(3000)[:, None] % 2 == np.arange(3000) % 2)
+    np.fill_diagonal(linked, False)
+    least = np.arange(3000)
+    while True:
+        lower = np.minimum(least, np.where(linked, least, 3000).min(1))
+        if (lower == least).all():
+            break
+        least = lower
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df, block=500).collect()}
+    assert linked.sum() > 5_000
+    assert got == {i: (int(linked[i].sum()), int(least[i])) for i in range(3000)}
+
+
+def test_embedding_range(spark):
+    """Doubles whose squares overflow or vanish link as any others do, in the operator and in its SQL."""
+    import duckdb
+
+    rows = [(1, [1e200, 0.0], 1), (2, [3e200, 1e199], 1), (3, [1e-200, 0.0], 1), (4, [5e-324, 0.0], 1), (5, [0.0, 1e308], 1), (6, [-0.0, 1e-310], 1), (7, [float("inf"), 0.0], 1), (8, [0.0, -0.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (0, 8)}
+    con = duckdb.connect()
+    con.execute("create table embeddings (vec_id bigint, embedding double[], label int)")
+    con.executemany("insert into embeddings values (?, ?, ?)", rows)
+    assert {i: (n, c) for i, n, c, _ in con.execute(queries._OP10).fetchall()} == got
+
+
+def test_embedding_forest():
+    """Sets joined pair by pair are the components of the pairs, each named by its first place."""
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 0), (50, 30), (400, 300), (400, 2000)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        forest = embedding_dedup._Forest(n)
+        for k in range(0, m, 97):
+            forest.join(a[k : k + 97], b[k : k + 97])
+        pairs = set(zip(a.tolist(), b.tolist(), strict=True))
+        want = brute_components(list(range(n)), lambda x, y: (x, y) in pairs or (y, x) in pairs)
+        assert forest.root.tolist() == [want[i] for i in range(n)]
+    forest = embedding_dedup._Forest(5000)
+    forest.join(np.arange(4999), np.arange(1, 5000))
+    assert not forest.root.any()
 
 
 # the pipeline
