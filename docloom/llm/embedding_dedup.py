@@ -39,10 +39,17 @@ THRESHOLD = 0.93
 SAMPLE, LISTS, SUBSPACES, CODES, ROUNDS = 32_768, 4_096, 8, 256, 8
 #: Vectors of a list in one task, and queries compared at once.
 BLOCK, ROWS = 4_096, 256
+#: Vectors whose distances to all centres are held at once.
+NEAR = 256
 
 
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.argmin((centres**2).sum(1) - 2 * (x @ centres.T), axis=1)
+    """Each vector's nearest centre, in stretches whose distances stay in the processor's cache."""
+    square, twice = (centres**2).sum(1), 2 * centres.T
+    out = np.empty(len(x), np.int64)
+    for lo in range(0, len(x), NEAR):
+        out[lo : lo + NEAR] = np.argmin(square - x[lo : lo + NEAR] @ twice, axis=1)
+    return out
 
 
 def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = ROUNDS) -> np.ndarray:
