@@ -181,13 +181,66 @@ def rolled_up(df: DataFrame, by: list[str], order: str, columns: list[str], text
     out = []
     for c in columns:
         rows = F.array_sort(F.collect_list(F.struct(order, c)))
-        out.append(F.array_distinct(F.flatten(F.transform(rows, lambda x, c=c: F.coalesce(x[c], F.expr("cast(array() as array<string>)"))))).alias(c))
+        out.append(F.array_distinct(F.flatten(F.filter(rows[c], lambda x: x.isNotNull()))).alias(c))
     if text:
         rows = F.array_sort(F.collect_list(F.struct(order, text)))
         out.append(F.array_join(F.transform(rows, lambda x: x[text]), " ").alias(text))
     return df.groupBy(*by).agg(*out)
 
 
+# roles
+
+
+@dataclass(frozen=True)
+class RoleWords:
+    """What tells the role of a statement; word lists, and patterns where named so."""
+
+    change: tuple[str, ...] = ()
+    change_acts: tuple[str, ...] = ()
+    frame: tuple[str, ...] = ()
+    short_frame: tuple[str, ...] = ()
+    case_pattern: str = r"(?!)"
+    direction: str = "☞"
+    background: tuple[str, ...] = ()
+    hard_problem: tuple[str, ...] = ()
+    soft_problem: tuple[str, ...] = ()
+    need_pattern: str = r"(?!)"
+    strong: tuple[str, ...] = ()
+    acts: tuple[str, ...] = ()
+
+
+#: Fixed value: the longest text that a word of ``short_frame`` alone makes a frame.
+SHORT_FRAME = 30
+
+
+def statement_role(text: Column, words: RoleWords) -> Column:
+    """A struct (role, note) of a statement, by the first rule that holds; a null text is an action without a note.
+
+    A softer sign of a problem, or of a need, makes one only where nothing in
+    the text acts.
+    """
+    has = lambda of: (hits(text, of) > 0) if of else F.lit(False)
+    acts = has(words.acts) | has(words.strong)
+    rules = [
+        (has(words.change) & has(words.change_acts), "regulatory_delta", "detected_current_to_improvement_pattern"),
+        (has(words.frame), "meta_program_frame", "detected_program_frame_keyword"),
+        ((F.char_length(text) <= SHORT_FRAME) & has(words.short_frame), "meta_program_frame", "detected_short_meta_bullet"),
+        (text.rlike(words.case_pattern) & text.rlike('[“"]'), "case_example", "detected_case_example_quote"),
+        (text.startswith(words.direction), "policy_action", "detected_improvement_direction_prefix"),
+        (has(words.background) & ~has(words.strong), "background_context", "detected_background_keyword"),
+        (has(words.hard_problem), "problem_or_requirement", "detected_problem_keyword"),
+        (has(words.soft_problem) & acts, "policy_action", "detected_soft_problem_but_action_overrides"),
+        (has(words.soft_problem), "problem_or_requirement", "detected_problem_keyword"),
+        (text.rlike(words.need_pattern) & acts, "policy_action", "detected_need_phrase_but_action_overrides"),
+        (text.rlike(words.need_pattern), "problem_or_requirement", "detected_need_phrase"),
+    ]
+    made = lambda role, note: F.struct(F.lit(role).alias("role"), F.lit(note).alias("note"))
+    out = made("policy_action", "")
+    for holds, role, note in reversed(rules):
+        out = F.when(F.coalesce(holds, F.lit(False)), made(role, note)).otherwise(out)
+    return out
+
+
 # rule cascades
 
 

@@ -385,13 +385,13 @@ def q56_bbox_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    from docloom.plans import corpus, evidence
+    from docloom.plans import corpus, evidence, readmodel
 
-    every = {**globals(), **vars(evidence), **vars(corpus)}
+    every = {**globals(), **vars(evidence), **vars(corpus), **vars(readmodel)}
     return {name: every[name] for name in sorted(every) if name[0] == "q" and name[1:3].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    from docloom.plans import corpus_oracles, evidence_oracles
+    from docloom.plans import corpus_oracles, evidence_oracles, readmodel_oracles
 
-    return {**oracles.SQL, **evidence_oracles.SQL, **corpus_oracles.SQL}
+    return {**oracles.SQL, **evidence_oracles.SQL, **corpus_oracles.SQL, **readmodel_oracles.SQL}

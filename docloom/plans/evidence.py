@@ -189,7 +189,7 @@ def q41_lens_projection_assign(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q61_provisional_fill(spark: SparkSession, d: str) -> DataFrame:
-    parts = table(spark, d, "part").withColumn("n", F.crc32(F.col("p_type")) % 3)
+    parts = table(spark, d, "part").withColumn("n", F.char_length("p_type") % 3)
     existing = parts.groupBy("p_type", "n").agg(F.lit(2).alias("n_groups"), F.count_if(F.col("n") == 1).alias("n_auto"), F.max(F.lit(2)).alias("last_order")).filter("n > 0").drop("n")
     key = lens.provisional_key(F.col("p_size") > 40, F.col("p_size") > 20, F.lit("talent"), F.col("p_size"), F.floor("p_retailprice"), F.col("p_partkey"))
     filled = lens.provisional_fill(parts.select("p_partkey", "p_type", "p_brand", "p_name", "p_size", "p_retailprice"), existing, "p_type", ["p_brand"], key, 6)
