@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docloom.operators.ranking import ranked
+
 UNMAPPED = "unmapped"
 
 
@@ -88,12 +90,12 @@ def asset_insight(rows: DataFrame, asset: str, evidence: str, kind: str, preview
 def first_seen_ids(rows: DataFrame, keys: list[str], seq: str, prefix: str, width: int) -> DataFrame:
     """(keys, id): distinct keys numbered over all in the order in which they were first seen.
 
-    The numbers are of a dimension, which is small beside the rows: only its
-    keys meet in one task.
+    ``seq`` is numeric.  Keys are numbered in stretches, so that there may be as
+    many as rows; a number of more than ``width`` digits keeps them all.
     """
     first = rows.groupBy(*keys).agg(F.min(seq).alias("__first"))
-    place = F.row_number().over(Window.orderBy("__first", *keys))
-    return first.select(*keys, F.concat(F.lit(f"{prefix}-"), F.lpad(place.cast("string"), width, "0")).alias("id"))
+    placed = ranked(first, "__first", [F.col(c) for c in ("__first", *keys)], name="__id")
+    return placed.select(*keys, F.format_string(f"{prefix}-%0{width}d", "__id").alias("id"))
 
 
 def taxonomy_ids(rows: DataFrame) -> DataFrame:

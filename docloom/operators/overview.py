@@ -108,12 +108,12 @@ def rebuilt_ledger(packets: list[DataFrame], drafts: DataFrame, key: str, fields
 
     Columns that a packet lacks, nulls, and drafted fields of a key without a
     draft are empty.  Of several drafts of a key the one with the largest
-    ``seq`` counts.  Rows that packets repeat stay repeated.
+    ``seq``, then by its fields, counts.  Rows that packets repeat stay repeated.
     """
     blank = lambda df, c: (text_of(F.col(c).cast("string")) if c in df.columns else F.lit("")).alias(c)
     out = None
     for p in packets:
         rows = p.select(*(blank(p, c) for c in [key, *fields]))
         out = rows if out is None else out.unionByName(rows)
-    last = drafts.groupBy(F.col(key).cast("string").alias(key)).agg(F.max_by(F.struct(*(blank(drafts, c) for c in drafted)), "seq").alias("__d"))
+    last = drafts.groupBy(F.col(key).cast("string").alias(key)).agg(F.max(F.struct("seq", *(blank(drafts, c) for c in drafted))).alias("__d"))
     return out.join(last, key, "left").select(key, *fields, *(text_of(F.col("__d")[c]).alias(c) for c in drafted))

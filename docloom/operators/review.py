@@ -129,10 +129,10 @@ def rejection_report(rows: DataFrame, domain: str, status: str, reason: str) ->
     return rows.filter(F.col(status) == "rejected").groupBy(domain).agg(F.count("*").alias("n_rejected"), F.array_join(F.array_sort(F.collect_set(reason)), " | ").alias("reasons"))
 
 
-def overlaid(rows: DataFrame, decisions: DataFrame, key: str, fields: list[str], fallback: str | None = None) -> DataFrame:
-    """``rows`` with decided fields, found by ``key``, else by ``fallback``; of several decisions of a key the last by all fields counts."""
+def overlaid(rows: DataFrame, decisions: DataFrame, key: str, fields: list[str], fallback: str | None = None, seq: str | None = None) -> DataFrame:
+    """``rows`` with decided fields, found by ``key``, else by ``fallback``; of several decisions of a key the last by ``seq``, then by all fields, counts, without it the largest by all fields."""
     for by in [key] if fallback is None else [key, fallback]:
-        one = decisions.groupBy(F.col(key).alias(by)).agg(F.max(F.struct(*fields)).alias(f"__{by}"))
+        one = decisions.groupBy(F.col(key).alias(by)).agg((F.max(F.struct(*fields)) if seq is None else F.max_by(F.struct(*fields), F.struct(seq, *fields))).alias(f"__{by}"))
         rows = rows.join(one, by, "left")
     found = [f"__{key}"] if fallback is None else [f"__{key}", f"__{fallback}"]
     for f in fields:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.operators import labels, lens, mining, overview, pagetext, review, tables, textops
+from docloom.operators import facets, labels, lens, mining, overview, pagetext, review, tables, textops
 from docloom.plans.evidence import _folder
 from docloom.session import table
 from docloom.sources import sinks
+from docloom.streaming import ledger
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
@@ -187,3 +188,26 @@ def q130_rebuilt_ledger(spark: SparkSession, d: str) -> DataFrame:
     packets = [orders.filter("o_orderstatus = 'O'").drop("o_orderpriority"), orders.filter("o_orderstatus = 'F'")]
     drafts = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey", (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("seq"))
     return overview.rebuilt_ledger(packets, drafts, "o_orderkey", ["o_orderstatus", "o_orderpriority"], ["l_partkey", "note"])
+
+
+def q131_located_assets(spark: SparkSession, d: str) -> DataFrame:
+    """An asset for each place of twenty lines in each document, numbered over all as first seen."""
+    rows = _lines(spark, d).select("doc_id", F.floor(F.col("pos") / 20).alias("place"), (F.col("doc_id") * 1_000_000 + F.col("pos")).alias("seq"))
+    return facets.first_seen_ids(rows, ["doc_id", "place"], "seq", "AST", 2)
+
+
+def q132_last_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with the flag of their last line by number and part as the decision laid over their status."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_returnflag").alias("o_orderstatus"), (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("seq"))
+    return review.overlaid(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), lines.filter("o_orderstatus <> 'N'"), "o_orderkey", ["o_orderstatus"], seq="seq")
+
+
+def q133_streamed_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """Order lines as a stream of decisions on parts, folded into a ledger by keyed state and read back."""
+    path, checkpoint = _folder(spark), _folder(spark)
+    schema = spark.read.parquet(f"{d}/lineitem.parquet").schema
+    # by a glob, as a stream takes a plain path for a folder, and the table may be one file
+    stream = spark.readStream.schema(schema).parquet(f"{d}/lineitem.parque[t]")
+    decided = stream.select("l_partkey", "l_returnflag", "l_suppkey", (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("seq"))
+    ledger.keep(decided, "l_partkey", ["l_returnflag", "l_suppkey"], "seq", path, checkpoint)
+    return ledger.ledger(spark, path, "l_partkey", "l_partkey long, l_returnflag string, l_suppkey long, seq long, n long")

@@ -164,4 +164,12 @@ select c_custkey, category, c_custkey * 3 + g.at + 1 as number, n, least, most f
 )
 select cast(o_orderkey as varchar) as o_orderkey, o_orderstatus, case when o_orderstatus = 'F' then o_orderpriority else '' end as o_orderpriority, coalesce(cast(p as varchar), '') as l_partkey, '' as note
 from orders left join d on l_orderkey = o_orderkey where o_orderstatus in ('O', 'F')""",
+    "q131_located_assets": f"""with p as (select doc_id, pos // 20 as place, min(doc_id * 1000000 + pos) as s from ({_LINES}) group by all)
+select doc_id, place, printf('AST-%02d', row_number() over (order by s, doc_id, place)) as id from p""",
+    "q132_last_decisions": """with d as (select l_orderkey, max({'s': l_linenumber * 1000000 + l_partkey, 'f': l_returnflag}).f as f from lineitem where l_returnflag <> 'N' group by all)
+select o_orderkey, coalesce(f, o_orderstatus) as o_orderstatus from orders left join d on l_orderkey = o_orderkey""",
+    "q133_streamed_ledger": """with r as (
+  select *, l_orderkey * 100 + l_linenumber as seq, row_number() over (partition by l_partkey order by l_orderkey * 100 + l_linenumber desc, l_returnflag desc, l_suppkey desc) as r, count(*) over (partition by l_partkey) as n from lineitem
+)
+select l_partkey, l_returnflag, l_suppkey, seq, n from r where r = 1""",
 }

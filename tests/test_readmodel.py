@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.operators import mining, overview, pagetext
+from docloom.operators import facets, mining, overview, pagetext, review
 from docloom.plans import catalogue, readmodel_oracles
 from tests.oracle import compare
 
@@ -116,3 +116,18 @@ def test_rolled_up_nulls(spark):
     rows = [(1, 2, ["b", "a"], "y"), (1, 1, ["a", "c"], "x"), (1, 3, None, None), (2, 1, None, None)]
     got = sorted(tuple(r) for r in mining.rolled_up(spark.createDataFrame(rows, "g int, o int, m array<string>, t string"), ["g"], "o", ["m"], "t").collect())
     assert got == [(1, ["a", "c", "b"], "x y"), (2, [], "")]
+
+
+def test_numbers_beyond_their_width(spark):
+    """More keys than the width has digits for, most first seen together: gapless, in order, none cut short."""
+    df = spark.range(3000).select((F.col("id") % 1500).alias("k"), F.floor(F.col("id") % 1500 / 700).alias("seq"))
+    got = [r["id"] for r in facets.first_seen_ids(df, ["k"], "seq", "X", 2).orderBy("k").collect()]
+    assert got == [f"X-{i + 1:02d}" for i in range(1500)]
+    assert facets.first_seen_ids(df.limit(0), ["k"], "seq", "X", 2).count() == 0
+
+
+def test_last_decision_counts(spark):
+    rows = spark.createDataFrame([("1", "old"), ("2", "old")], "k string, v string")
+    decided = spark.createDataFrame([("1", "z", 1), ("1", "a", 2)], "k string, v string, seq int")
+    assert sorted(tuple(r) for r in review.overlaid(rows, decided, "k", ["v"], seq="seq").collect()) == [("1", "a"), ("2", "old")]
+    assert sorted(tuple(r) for r in review.overlaid(rows, decided, "k", ["v"]).collect()) == [("1", "z"), ("2", "old")]
