@@ -1,6 +1,7 @@
 """Operators that take vocabularies, shapes, hierarchies, commits and sections as data, and queries of theirs."""
 
 import random
+import re
 import sqlite3
 import time
 
@@ -229,6 +230,28 @@ def test_resolved_ids(spark):
     assert got == [("a", "A", "matched"), ("b", "B", "tied"), ("c", "D", "matched"), ("d", "A", "outbid"), ("e", None, "none"), ("f", None, "none"), ("g", None, "none")]
 
 
+def test_resolved_ids_shuffle_no_pairs(spark):
+    """Against plain counts, with many ids to a piece of evidence: what is shuffled grows with the evidence, not with the pairs."""
+    rng = random.Random(3)
+    old, new = ([(f"{side}{k}", rng.randrange(12)) for k in range(150) for _ in range(rng.randint(0, 4))] for side in "on")
+    frames = spark.createDataFrame(old, "old_id string, evidence int"), spark.createDataFrame(new, "new_id string, evidence int")
+    got = resolve.resolved(*frames)
+    holders = {e: {x for x, f in new if f == e} for _, e in new}
+    weights = {o: {} for o, _ in old}
+    for o, e in set(old):
+        for x in holders.get(e, ()):
+            weights[o][x] = weights[o].get(x, 0) + 1_000_000 / len(holders[e])
+    rounded = {o: {x: int(w + 0.5) for x, w in ws.items()} for o, ws in weights.items()}
+    want = []
+    for o, ws in rounded.items():
+        best = sorted(x for x, w in ws.items() if w == max(ws.values()))
+        bids = [w[best[0]] for w in rounded.values() if best and best[0] in w]
+        outcome = "none" if not best else "tied" if len(best) > 1 else "outbid" if ws[best[0]] < max(bids) or bids.count(max(bids)) > 1 else "matched"
+        want.append((o, best[0] if best else None, ws[best[0]] if best else None, outcome))
+    assert rows(got, "old_id", "new_id", "weight", "outcome") == sorted(want) and len({w[3] for w in want}) >= 3
+    assert not re.search(r"Window|Aggregate \[old_id#\d+, new_id#", got._jdf.queryExecution().optimizedPlan().toString())
+
+
 def test_read_models(spark):
     cells = spark.createDataFrame([("x", "a", 2), ("x", "z", 5), ("y", "b", 1), ("x", "a", 1)], "r string, c string, v int")
     assert [tuple(r) for r in facets.pivoted(cells, "r", "c", "v", ["b", "none", "a"]).orderBy("r").collect()] == [("x", 0, 0, 3), ("y", 1, 0, 0)]
