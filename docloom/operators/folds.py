@@ -1,7 +1,7 @@
 """Order-dependent passes over arrays whose state neither windows nor lambdas can carry in linear time.
 
-A row's array stays in its row: no shuffle.  Only numbers go to Python, and one
-number an element comes back; what it means is worked out in expressions.
+A row's array stays in its row: no shuffle.  One number an
+element comes back from Python; what it means is worked out in expressions.
 """
 
 from __future__ import annotations
@@ -27,10 +27,18 @@ def fold(step: Step, values: Iterable[tuple]) -> list[int]:
     return out
 
 
+def _values(column: pa.Array) -> list:
+    """Numbers as floats, null as NaN; texts as they are."""
+    if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        return column.to_pylist()
+    return pc.fill_null(pc.cast(column, pa.float64()), np.nan).to_numpy(zero_copy_only=False).tolist()
+
+
 def scanned(df: DataFrame, items: str, fields: list[str], step: Step, out: str) -> DataFrame:
     """``df`` with an array ``out`` of a number for each element of the array of structs ``items``.
 
-    ``step`` sees the named fields as numbers, null as NaN; a null array gives null.
+    ``step`` sees the named fields as numbers, null as NaN, and texts as they
+    are, null as None; a null array gives null.
     """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.LongType()))])
 
@@ -38,7 +46,7 @@ def scanned(df: DataFrame, items: str, fields: list[str], step: Step, out: str)
         for batch in it:
             column = batch.column(items)
             flat = pc.list_flatten(column)
-            numbers = [pc.fill_null(pc.cast(pc.struct_field(flat, f), pa.float64()), np.nan).to_numpy(zero_copy_only=False).tolist() for f in fields]
+            numbers = [_values(pc.struct_field(flat, f)) for f in fields]
             rows = zip(*numbers, strict=True) if fields else iter(())
             sizes = pc.list_value_length(column).to_pylist()
             made = [None if n is None else fold(step, [next(rows) for _ in range(n)]) for n in sizes]

@@ -7,11 +7,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.operators import labels
+from docloom.operators import folds, labels
 from docloom.operators.fields import by_rules
 
 
@@ -122,58 +121,64 @@ def skip_reason(text: Column, block_type: Column, has_taxonomy: Column, words: W
 ATTACHED, CONTINUES = ("note", "citation", "caption"), 80
 
 
+#: Parts of a draft group; the number of a row's part is its place here.
+PARTS = ("", "primary", "continuation", "review")
+
+
+def _grouped(state: tuple | None, row: tuple) -> tuple[tuple, int]:
+    """One row (page, kind, attached, goes_on) of the pass; kind 0: review, 1: closed, 2: opens or continues.
+
+    The state is (group or None, its page, the last page, groups made); the
+    number given is the group times four and the part's place in ``PARTS``.
+    """
+    page, kind, attached, goes_on = row
+    group, of, last, made = state or (None, None, None, 0)
+    part = 0
+    if kind == 0:
+        if group is not None and page == of and attached:
+            part = 3
+    elif kind == 1:
+        if group is not None and page != of:
+            group = None
+    elif group is not None and page == of == last and goes_on:
+        part = 2
+    else:
+        made += 1
+        group, of, part = made, page, 1
+    return (group, of, page, made), (group * 4 + part if part else 0)
+
+
 def grouped_rows(rows: list[dict]) -> list[tuple[int | None, str]]:
     """For ordered rows (page, candidate, skip, block_type, chars, marked) the group of each and its part: primary, continuation, review or none.
 
     A group closes where another page turns up in a row that isn't merely
     under review, and where a new primary row opens the next.
     """
-    out: list[tuple[int | None, str]] = []
-    group, page, last_page, made = None, None, None, 0
-    for r in rows:
-        part = ""
-        if r["candidate"] == "review":
-            if group is not None and r["page"] == page and r["block_type"] in ATTACHED:
-                part = "review"
-        elif r["candidate"] != "yes" or r["skip"]:
-            if group is not None and r["page"] != page:
-                group = None
-        else:
-            goes_on = r["block_type"] == "paragraph" and (r["chars"] <= CONTINUES or not r["marked"])
-            if group is not None and r["page"] == page == last_page and goes_on:
-                part = "continuation"
-            else:
-                made += 1
-                group, page, part = made, r["page"], "primary"
-        out.append((group if part else None, part))
-        last_page = r["page"]
-    return out
+    kind = lambda r: 0 if r["candidate"] == "review" else 1 if r["candidate"] != "yes" or r["skip"] else 2
+    goes_on = lambda r: r["block_type"] == "paragraph" and (r["chars"] <= CONTINUES or not r["marked"])
+    found = folds.fold(_grouped, [(r["page"], kind(r), r["block_type"] in ATTACHED, goes_on(r)) for r in rows])
+    return [(n // 4 or None, PARTS[n % 4]) for n in found]
 
 
 def merge_draft(rows: DataFrame, id_col: str = "doc_id", order: str = "pos") -> DataFrame:
     """(id, group_no, page, text, n_continuations, n_reviews, confidence): each document's rows merged into draft groups.
 
-    ``rows`` has id, order, page, candidate, skip, block_type, text.  A task
-    holds one document's rows; the roll-up of a group is a DataFrame step.
+    ``rows`` has id, order, page, candidate, skip, block_type, text.  Rows meet
+    once, as an array a document, along which the groups are told in one pass.
     """
-    of = rows.schema[id_col].dataType.simpleString()
-    narrow = rows.select(id_col, order, "page", "candidate", "skip", "block_type", F.char_length("text").alias("chars"), F.col("text").rlike("^[-*•□ㅇ○]").alias("marked"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        pdf["skip"] = pdf["skip"].fillna("")
-        found = grouped_rows(pdf.to_dict("records"))
-        out = pd.DataFrame({id_col: pdf[id_col], order: pdf[order], "group_no": pd.array([g for g, _ in found], dtype="Int64"), "part": [p for _, p in found]})
-        return out[out["part"] != ""]
-
-    parts = narrow.groupBy(id_col).applyInPandas(run, f"{id_col} {of}, {order} long, group_no long, part string")
-    whole = rows.join(parts, [id_col, order])
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("part") != "review", F.struct(order, "text")))), lambda x: x["text"]), " ")
-    n = lambda part: F.count_if(F.col("part") == part)
-    confidence = F.when((n("continuation") > 0) | (n("review") > 0) | (F.max(F.when(F.col("part") == "primary", F.col("block_type"))) == "bullet"), "medium").otherwise("low")
-    return whole.groupBy(id_col, "group_no").agg(
-        F.min(F.when(F.col("part") == "primary", F.col("page"))).alias("page"), text.alias("text"), n("continuation").alias("n_continuations"), n("review").alias("n_reviews"), confidence.alias("confidence")
-    )
+    candidate, block_type = F.coalesce("candidate", F.lit("")), F.coalesce("block_type", F.lit(""))
+    kind = F.when(candidate == "review", 0).when((candidate != "yes") | (F.coalesce("skip", F.lit("")) != ""), 1).otherwise(2)
+    goes_on = (block_type == "paragraph") & (F.coalesce(F.char_length("text") <= CONTINUES, F.lit(False)) | ~F.coalesce(F.col("text").rlike("^[-*•□ㅇ○]"), F.lit(False)))
+    row = F.struct(order, "page", kind.alias("kind"), block_type.isin(*ATTACHED).cast("int").alias("attached"), goes_on.cast("int").alias("goes_on"), (block_type == "bullet").alias("bullet"), "text")
+    by = rows.groupBy(id_col).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    found = folds.scanned(by, "rows", ["page", "kind", "attached", "goes_on"], _grouped, "found")
+    kept = F.filter(F.arrays_zip("rows", "found"), lambda x: x["found"] > 0)
+    whole = found.select(id_col, F.explode(kept).alias("x")).select(id_col, F.expr("x.found div 4").alias("group_no"), (F.col("x.found") % 4).alias("part"), "x.rows.*")
+    is_part = lambda name: F.col("part") == PARTS.index(name)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~is_part("review"), F.struct(order, "text")))), lambda x: x["text"]), " ")
+    n = lambda name: F.count_if(is_part(name))
+    confidence = F.when((n("continuation") > 0) | (n("review") > 0) | F.bool_or(is_part("primary") & F.col("bullet")), "medium").otherwise("low")
+    return whole.groupBy(id_col, "group_no").agg(F.min(F.when(is_part("primary"), F.col("page"))).alias("page"), text.alias("text"), n("continuation").alias("n_continuations"), n("review").alias("n_reviews"), confidence.alias("confidence"))
 
 
 def rolled_up(df: DataFrame, by: list[str], order: str, columns: list[str], text: str | None = None) -> DataFrame:

@@ -154,6 +154,29 @@ def test_merge_draft(spark):
     assert mining.merge_draft(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("query", [evidence.q15_span_alignment, evidence.q25_merge_draft])
+def test_documents_go_to_python_in_batches(spark, query):
+    """No call of Python a document: thousands of small ones took milliseconds each."""
+    plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "GroupsInPandas" not in plan and "GroupsInArrow" not in plan
+
+
+def test_merge_draft_of_named_pages(spark):
+    """Pages may be texts, and null fields hold nothing back."""
+    data = [(1, 0, "a", "yes", None, "paragraph", "x"), (1, 1, "a", "yes", None, "paragraph", None), (1, 2, "b", "yes", None, None, "y"), (1, 3, None, "yes", None, "bullet", "z"), (1, 4, None, None, None, "note", "w"), (2, 0, "a", "no", None, "note", "v")]
+    df = spark.createDataFrame(data, "doc_id long, pos long, page string, candidate string, skip string, block_type string, text string")
+    got = [tuple(r) for r in mining.merge_draft(df).orderBy("doc_id", "group_no").select("doc_id", "group_no", "page", "n_continuations", "confidence").collect()]
+    assert got == [(1, 1, "a", 1, "medium"), (1, 2, "b", 0, "low"), (1, 3, None, 0, "medium")]
+
+
+def test_source_map_of_pages_without_lines(spark):
+    paragraphs = spark.createDataFrame([(1, 1, 1, "cc", 1), (1, 1, 0, "aabb", 2), (1, 2, 0, "aa", 1), (2, 1, 0, None, 1)], "doc_id long, page_no long, pos long, key string, merged long")
+    lines = spark.createDataFrame([(1, 1, 2, "cc"), (1, 1, 0, "aa"), (1, 1, 1, "bb"), (2, 1, 0, None), (3, 1, 0, "zz")], "doc_id long, page_no long, line_order long, key string")
+    got = sorted(tuple(r) for r in align.source_map(paragraphs, lines).collect())
+    assert got == [(1, 1, 0, 0, 2, "exact_match"), (1, 1, 1, 2, 3, "exact_match"), (1, 2, 0, None, None, "unmapped"), (2, 1, 0, None, None, "unmapped")]
+    assert align.source_map(paragraphs.limit(0), lines).count() == 0
+
+
 def test_lens(spark):
     terms = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (2, "a", 1), (2, "b", 1), (3, "a", None)], "item int, term string, is_primary int")
     got = sorted(tuple(r) for r in lens.assigned(spark.range(1, 5).withColumnRenamed("id", "item"), terms, "item", "term").collect())
