@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Lines that may be skipped before a span, lines beyond the expected number, the least longest span, and that of a whole-page search.
 SKIP, BEYOND, LONGEST, PAGE_LONGEST = 8, 4, 8, 40
@@ -55,20 +58,28 @@ def source_map(paragraphs: DataFrame, lines: DataFrame, id_col: str = "doc_id",
     """(id, page, pos, first, last, note): each paragraph's span of lines, from 0, the end exclusive; null and ``unmapped`` if none.
 
     ``paragraphs`` has id, page, pos, key, merged; ``lines`` id, page, line_order, key: keys
-    made by ``labels.compare_key``.  A task holds one page of both.
+    made by ``labels.compare_key``.  A row holds one
+    page of both, and a batch of rows goes to Python at once.
     """
-    kind = paragraphs.schema[id_col].dataType.simpleString()
-
-    def run(p: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("pos", kind="stable")
-        keys = x.sort_values("line_order", kind="stable")["key"].fillna("").tolist()
-        found = align(list(zip(p["key"].fillna(""), p["merged"].astype(int), strict=True)), keys)
-        rows = [(a, b, int(c), *(f or (None, None, "unmapped"))) for a, b, c, f in zip(p[id_col], p[page_col], p["pos"], found, strict=True)]
-        out = pd.DataFrame(rows, columns=[id_col, page_col, "pos", "first", "last", "note"])
-        return out.astype({"first": "Int64", "last": "Int64"})
-
-    schema = f"{id_col} {kind}, {page_col} long, pos long, first long, last long, note string"
-    return paragraphs.groupBy(id_col, page_col).cogroup(lines.groupBy(id_col, page_col)).applyInPandas(run, schema)
+    listed = lambda df, row, name: df.groupBy(id_col, page_col).agg(F.array_sort(F.collect_list(row)).alias(name))
+    key = F.coalesce("key", F.lit("")).alias("key")
+    p = listed(paragraphs, F.struct(F.col("pos").cast("long").alias("pos"), key, F.col("merged").cast("long").alias("merged")), "targets")
+    x = listed(lines, F.struct("line_order", key), "keys").select(id_col, page_col, F.col("keys.key").alias("keys"))
+    pages = p.join(x, [id_col, page_col], "left")
+    found = T.StructType([pages.schema[id_col], pages.schema[page_col], *(T.StructField(c, T.LongType()) for c in ("pos", "first", "last")), T.StructField("note", T.StringType())])
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            rows, out = [], []
+            for k, (targets, keys) in enumerate(zip(batch.column("targets").to_pylist(), batch.column("keys").to_pylist(), strict=True)):
+                spans = align([(t["key"], t["merged"]) for t in targets], keys or [])
+                out += [(t["pos"], *(f or (None, None, "unmapped"))) for t, f in zip(targets, spans, strict=True)]
+                rows += [k] * len(targets)
+            at = pa.array(rows, pa.int64())
+            made = [pa.array(c, pa.string() if i == 3 else pa.int64()) for i, c in enumerate(zip(*out, strict=True))] if out else [pa.array([], pa.int64())] * 3 + [pa.array([], pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(id_col).take(at), batch.column(page_col).take(at), *made], found.names)
+
+    return pages.mapInArrow(run, found)
 
 
 def coverage(mapped: DataFrame, id_col: str = "doc_id") -> DataFrame:
