@@ -4,13 +4,14 @@ Terms and texts are match keys, without white space, so a term may begin
 anywhere in a text.  The plan doesn't grow with the vocabulary, and no text is
 compared with all terms: a broadcast automaton passes over each text once, and
 a vocabulary that is too large for that is an index of the terms' beginnings,
-which an equi-join looks the texts' places up in.
+in which an equi-join looks up the places where a filter of them finds one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +19,12 @@ from pyspark.sql import types as T
 
 from docloom.operators.scoring import Term, Weights, is_telling, plain_key, words_of_label
 
-#: Characters of a term's beginning in the index; a shorter term is its own beginning.
-GRAM = 4
+#: Characters of a term's beginning in the index: as many of these as the term has.
+GRAMS = (1, 2, 4, 8, 16)
 #: Terms of up to so many bytes, counting so many for each beside its key, go into an automaton.
 BROADCAST_BYTES, KEY_BYTES = 32 << 20, 64
-#: Long texts are cut in parts of so many characters, which overlap by the longest term.
-PART = 2_048
+#: Texts are looked at together up to so many characters; most bits of the filter of beginnings (32 MB), and bits a beginning.
+PART, MOST_BITS, KEY_BITS = 1 << 18, 1 << 28, 24
 
 _ROWS = "label string, display_order int, kind string, key string, prior_of string"
 
@@ -41,17 +42,12 @@ def vocabulary_rows(spark: SparkSession, terms: list[Term], generic: frozenset[s
     return spark.createDataFrame(rows, _ROWS)
 
 
-def _places(text: Column, longest: int) -> Column:
-    """Each place of a short text with the characters that follow it, as many as the longest term has."""
-    return F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{1,{longest}}}))."), F.lit(1))
-
-
 def held(texts: DataFrame, id_cols: list[str], key_col: str, keys: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(id..., key): the keys, of ``keys`` (key), that each text holds; empty keys are in none.
 
     Keys of up to ``broadcast_bytes`` go to all executors as one automaton, and
     each text is passed over once where it stands.  Beyond, places of texts
-    meet an index of the keys' first characters in a shuffle.
+    where a key may begin meet an index of the keys' beginnings in a shuffle.
     """
     terms = keys.select(F.col("key").alias("__key")).filter("__key <> ''").distinct()
     size = terms.agg(F.coalesce(F.sum(F.octet_length("__key") + KEY_BYTES), F.lit(0)).alias("bytes")).first()["bytes"]
@@ -91,18 +87,87 @@ def _automaton(words: list[str]):
 _made: dict = {}
 
 
+def _hashes(codes: np.ndarray, sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, 64-bit hashes of the ``size`` characters from each place on); sizes are powers of two, ascending."""
+    h, width = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), 1
+    while sizes and width <= sizes[-1] and len(h):
+        if width in sizes:
+            x = (h + np.uint64(width)) * np.uint64(0xC2B2AE3D27D4EB4F)
+            x ^= x >> np.uint64(29)
+            x *= np.uint64(0x165667B19E3779F9)
+            yield width, x ^ (x >> np.uint64(32))
+        h = h[:-width] * np.uint64(0xFF51AFD7ED558CCD + 2 * width) + h[width:]
+        width *= 2
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each hash in a filter of ``bits``, a power of two."""
+    return h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)
+
+
+def _beginnings(grams: DataFrame) -> np.ndarray:
+    """A filter of the terms' beginnings, put together by the executors: so many bytes come to the driver at most, however many terms there are."""
+    bits = 1 << 20
+    n = grams.count()
+    while bits < MOST_BITS and bits < KEY_BITS * n:
+        bits *= 2
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            found = [h for g in batch.column("__gram").to_pylist() for _, h in _hashes(_codes(g), [len(g)])]
+            at = np.concatenate(_probes(np.concatenate(found), bits)) if found else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64))], ["bit"])
+
+    words = grams.mapInArrow(run, "bit long").groupBy(F.expr("shiftright(bit, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("mask"))
+    got = words.toPandas()
+    out = np.zeros(bits // 64, np.uint64)
+    out[got["word"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
 def _held_by_index(texts: DataFrame, id_cols: list[str], terms: DataFrame) -> DataFrame:
-    first = terms.agg(F.max(F.char_length("__key")).alias("longest"), F.collect_set(F.least(F.char_length("__key"), F.lit(GRAM))).alias("sizes")).first()
-    longest, sizes = first["longest"], sorted(first["sizes"])  # at most GRAM numbers
-    index = terms.groupBy(F.substring("__key", 1, GRAM).alias("__gram")).agg(F.collect_list("__key").alias("__keys")).hint("shuffle_merge")
-    # parts that overlap so that no term is cut in all of them
-    part = F.regexp_extract_all("__text", F.lit(rf"(?s)(?=(.{{1,{PART + longest - 1}}}))(?:.{{1,{PART}}})"), F.lit(1))
-    rows = texts.select(*id_cols, F.explode(part).alias("__part"))
-    rows = rows.select(*id_cols, F.explode(F.array_distinct(_places("__part", longest))).alias("__place"))
-    grams = F.array_distinct(F.array(*(F.substring("__place", 1, n) for n in sizes)))
-    rows = rows.select(*id_cols, "__place", F.explode(grams).alias("__gram"))
-    found = rows.join(index, "__gram").select(*id_cols, F.explode(F.filter("__keys", lambda k: F.startswith("__place", k))).alias("key"))
-    return found.distinct()
+    """Only places where a term's beginning stands are shuffled: executors look places up in a filter of them first, the join tells the rest."""
+    n = F.char_length("__key")
+    size = F.lit(1)
+    for k in GRAMS[1:]:
+        size = F.when(n >= k, k).otherwise(size)
+    index = terms.withColumn("__size", size).withColumn("__gram", F.expr("substring(__key, 1, __size)"))
+    longest = {r["__size"]: r["n"] for r in index.groupBy("__size").agg(F.max(n).alias("n")).collect()}  # a row for each of GRAMS
+    sizes = sorted(longest)
+    words = texts.sparkSession.sparkContext.broadcast(_beginnings(index.select("__gram").distinct()))
+    found = T.StructType([*texts.select(*id_cols).schema.fields, T.StructField("__gram", T.StringType()), T.StructField("__place", T.StringType())])
+
+    def places(part: list[str]) -> Iterator[tuple[int, str, str]]:
+        """(text, beginning, what stands there), each once, of texts put together."""
+        table, joined = words.value, "".join(part)
+        lengths = np.array([len(t) for t in part], np.int64)
+        row, ends = np.repeat(np.arange(len(part)), lengths), np.repeat(np.cumsum(lengths), lengths)
+        for size, h in _hashes(_codes(joined), sizes):
+            at = np.flatnonzero(np.arange(size, len(h) + size) <= ends[: len(h)])
+            for b in _probes(h, len(table) * 64):
+                b = b[at]
+                at = at[(table[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) == 1]
+            stops = np.minimum(at + longest[size], ends[at])
+            yield from {(r, joined[i : i + size], joined[i:j]): None for r, i, j in zip(row[at].tolist(), at.tolist(), stops.tolist(), strict=True)}
+
+    def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            column, start = [t or "" for t in batch.column("__text").to_pylist()], 0
+            while start < len(column):
+                stop, chars = start, 0
+                while stop < len(column) and (chars < PART or stop == start):
+                    chars, stop = chars + len(column[stop]), stop + 1
+                rows = list(places(column[start:stop]))
+                at = pa.array([start + r for r, _, _ in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in id_cols), *(pa.array([x[k] for x in rows], pa.string()) for k in (1, 2))], found.names)
+                start = stop
+
+    rows = texts.mapInArrow(run, found)
+    return rows.join(index.select("__gram", "__key").hint("shuffle_merge"), "__gram").filter(F.startswith("__place", "__key")).select(*id_cols, F.col("__key").alias("key")).distinct()
 
 
 def scores(

@@ -223,6 +223,22 @@ def test_shapes(spark):
         assert tuple(spark.range(1).select(shapes.fits(F.lit(good), F.lit(kind)), shapes.fits(F.lit(bad), F.lit(kind)), shapes.fits(F.lit(bad), F.lit(None))).first()) == (True, False, True)
 
 
+def test_index_of_beginnings(spark, monkeypatch):
+    """Against plain search, texts put together and apart: terms of all sizes, none across two texts; places where no term begins aren't laid out as rows."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcé😀") for _ in range(n))
+    data = [(k, word(rng.choice((0, 1, 5, 60)))) for k in range(80)] + [(80, None), (81, "x" * 40)]
+    terms = {word(rng.randint(1, 20)) for _ in range(60)} | {t[i : i + rng.randint(1, 40)] for _, t in data if t for i in range(0, len(t), 7)} | {data[0][1] + data[1][1] + data[2][1]} - {""}
+    df, keys = spark.createDataFrame(data, "i int, t string"), spark.createDataFrame([(t,) for t in terms], "key string")
+    want = sorted((i, t) for i, text in data if text for t in terms if t and t in text)
+    for part in (1, 1 << 18):
+        monkeypatch.setattr(vocabulary, "PART", part)
+        found = vocabulary.held(df, ["i"], "t", keys, broadcast_bytes=0)
+        assert rows(found, "i", "key") == want
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan
+
+
 def test_resolved_ids(spark):
     old = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 1), ("e", 9), ("f", None), ("g", 7)], "old_id string, evidence int")
     new = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), ("C", 3), ("D", 4), ("D", 4), *((f"h{k}", 7) for k in range(5))], "new_id string, evidence int")
