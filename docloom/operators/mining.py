@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docloom.operators import folds, labels
 from docloom.operators.fields import by_rules
+from docloom.operators.textops import bound
 
 
 @dataclass(frozen=True)
@@ -95,26 +96,30 @@ def emitted(kept: DataFrame, id_col: str = "doc_id") -> dict[str, DataFrame]:
 
 def skip_reason(text: Column, block_type: Column, has_taxonomy: Column, words: Words) -> Column:
     """Why a row can't open a group: the first reason that holds; null: it can."""
-    acts = hits(text, words.strong + words.action) > 0
-    n = F.char_length(text)
-    tail = F.right(text, F.lit(50))
-    signs = (F.regexp_count(text, F.lit("[․]")) >= 4) | (F.regexp_count(text, F.lit(r"\[")) >= 3) | (F.regexp_count(text, F.lit("→")) >= 2)
-    para = block_type == "paragraph"
-    return by_rules(
-        [
-            (_begins(text, words.structural), "section_scaffold"),
-            (text.rlike(r"^\(?\d+\)?\s*(?:items?|개)"), "group_count_scaffold"),
-            (text.rlike(r"^(?:\*|e\.g\.|예\))"), "example_scaffold"),
-            (_begins(text, words.context) & ~acts, "context_scaffold"),
-            ((hits(tail, words.background) > 0) & (hits(text, words.cues) == 0), "background_tail"),
-            ((hits(text, words.negative) > 0) & ~acts, "background_statement"),
-            (para & (n <= 40) & ~acts, "short_paragraph_scaffold"),
-            (para & signs & ~acts, "diagram_or_schedule_paragraph"),
-            (para & (n >= 150) & ~acts, "long_background_paragraph"),
-            (~acts & ~has_taxonomy & (n <= 80), "no_action_no_taxonomy"),
-        ],
-        None,
-    )
+
+    def reason(text: Column, acts: Column) -> Column:
+        n = F.char_length(text)
+        tail = F.right(text, F.lit(50))
+        signs = (F.regexp_count(text, F.lit("[․]")) >= 4) | (F.regexp_count(text, F.lit(r"\[")) >= 3) | (F.regexp_count(text, F.lit("→")) >= 2)
+        para = block_type == "paragraph"
+        return by_rules(
+            [
+                (_begins(text, words.structural), "section_scaffold"),
+                (text.rlike(r"^\(?\d+\)?\s*(?:items?|개)"), "group_count_scaffold"),
+                (text.rlike(r"^(?:\*|e\.g\.|예\))"), "example_scaffold"),
+                (_begins(text, words.context) & ~acts, "context_scaffold"),
+                ((hits(tail, words.background) > 0) & (hits(text, words.cues) == 0), "background_tail"),
+                ((hits(text, words.negative) > 0) & ~acts, "background_statement"),
+                (para & (n <= 40) & ~acts, "short_paragraph_scaffold"),
+                (para & signs & ~acts, "diagram_or_schedule_paragraph"),
+                (para & (n >= 150) & ~acts, "long_background_paragraph"),
+                (~acts & ~has_taxonomy & (n <= 80), "no_action_no_taxonomy"),
+            ],
+            None,
+        )
+
+    # the text and whether it acts are made once, not in each rule
+    return bound(text, lambda t: bound(hits(t, words.strong + words.action) > 0, lambda acts: reason(t, acts)))
 
 
 #: Block types that attach to a group for review; the longest paragraph that continues one whatever it begins with.

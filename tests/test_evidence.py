@@ -161,6 +161,13 @@ def test_documents_go_to_python_in_batches(spark, query):
     assert "MapInArrow" in plan and "GroupsInPandas" not in plan and "GroupsInArrow" not in plan
 
 
+@pytest.mark.parametrize("query", [evidence.q24_candidate_mine_dedupe, evidence.q60_skip_reasons, evidence.q25_merge_draft])
+def test_texts_are_cleaned_once(spark, query):
+    """White space is collapsed once a line, not in each rule that reads the line."""
+    plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count(r"(?U)\s+") <= 4
+
+
 def test_merge_draft_of_named_pages(spark):
     """Pages may be texts, and null fields hold nothing back."""
     data = [(1, 0, "a", "yes", None, "paragraph", "x"), (1, 1, "a", "yes", None, "paragraph", None), (1, 2, "b", "yes", None, None, "y"), (1, 3, None, "yes", None, "bullet", "z"), (1, 4, None, None, None, "note", "w"), (2, 0, "a", "no", None, "note", "v")]
