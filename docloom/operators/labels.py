@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docloom.operators.fields import text_of
-from docloom.operators.textops import nfkc
+from docloom.operators.textops import bound, nfkc
 
 #: Marks before a listed text, and what a text copied from a source begins with.
 LEAD = r"(?:[ㅇ○□-] |[➊➋①②③])"
@@ -33,8 +33,8 @@ def without_private_use(text: Column) -> Column:
 
 def cut(text: Column, most: int, kept: int, mark: str = "...", trimmed: bool = True) -> Column:
     """A text of over ``most`` characters as its first ``kept`` ones and a mark."""
-    head = F.substring(text, 1, kept)
-    return F.when(F.char_length(text) > most, F.concat(F.rtrim(head) if trimmed else head, F.lit(mark))).otherwise(text)
+    head = lambda t: F.rtrim(F.substring(t, 1, kept)) if trimmed else F.substring(t, 1, kept)
+    return bound(text, lambda t: F.when(F.char_length(t) > most, F.concat(head(t), F.lit(mark))).otherwise(t))
 
 
 def label(text: Column, most: int = 48, kept: int = 45, retry: bool = True) -> Column:
@@ -43,13 +43,13 @@ def label(text: Column, most: int = 48, kept: int = 45, retry: bool = True) -> C
     ``retry``: a label of fewer than two characters is taken again from the
     text, up to a full stop or middle dot too.
     """
-    whole = collapsed(text)
-    plain = F.regexp_replace(whole, r"^(?:[-*•□○ㅇ▪]\s*)+", "")
-    inner = F.trim(F.regexp_extract(whole, r"\(([^()]+)\)", 1))
-    first = F.when(inner != "", inner).otherwise(F.trim(F.split(plain, "[,:;]")[0]))
-    if retry:
-        first = F.when(F.char_length(first) < 2, F.trim(F.split(plain, "[,.·;:]")[0])).otherwise(first)
-    return cut(first, most, kept)
+
+    def first(whole: Column) -> Column:
+        before = lambda signs: F.trim(F.split(F.regexp_replace(whole, r"^(?:[-*•□○ㅇ▪]\s*)+", ""), signs)[0])
+        out = bound(F.trim(F.regexp_extract(whole, r"\(([^()]+)\)", 1)), lambda inner: F.when(inner != "", inner).otherwise(before("[,:;]")))
+        return bound(out, lambda x: F.when(F.char_length(x) < 2, before("[,.·;:]")).otherwise(x)) if retry else out
+
+    return cut(bound(collapsed(text), first), most, kept)
 
 
 #: The four lengths of summaries, as (most, kept, mark, trimmed).

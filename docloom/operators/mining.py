@@ -71,9 +71,10 @@ def mined(lines: DataFrame, words: Words, category: Column, heading: str = "head
 
     ``seq`` numbers what is kept by id and place within its category.
     """
-    text = labels.collapsed(F.col("line"))
-    rows = lines.withColumn("__t", text).filter(is_candidate(F.col("__t"), F.col(heading), words))
-    rows = rows.select(id_col, "pos", category.alias("category"), labels.label(F.col("__t")).alias("label"), labels.summary(F.col("__t")).alias("summary"), points(F.col("__t"), words, full=False).alias("points"))
+    # a cleaned line is made once: in a filter it would be put into each of the conditions
+    cleaned = lines.select(id_col, "pos", F.col(heading).alias("__h"), category.alias("category"), F.explode(F.array(labels.collapsed(F.col("line")))).alias("__t"))
+    rows = cleaned.filter(is_candidate(F.col("__t"), F.col("__h"), words))
+    rows = rows.select(id_col, "pos", "category", labels.label(F.col("__t")).alias("label"), labels.summary(F.col("__t")).alias("summary"), points(F.col("__t"), words, full=False).alias("points"))
     best = F.min_by(F.struct(id_col, "pos", "summary", "points"), F.struct(-F.col("points"), F.col(id_col), F.col("pos")))
     kept = rows.groupBy("category", "label").agg(best.alias("b")).select("category", "label", "b.*")
     return kept.select(id_col, "pos", "category", "label", "summary", "points")
