@@ -17,25 +17,28 @@ def rollup(rows: DataFrame, levels: list[str]) -> DataFrame:
     levels.  A null id isn't there, and neither is what hangs below it.  An id
     may lie below several nodes, and each counts it once.
 
-    Each distinct path is expanded once, to a row for each node on it and each
-    level below.  Rows are made distinct by node and id together, so that the
-    whole, which holds all ids, is no hot group, and then counted.
+    Step by step: the ids of a level are made distinct below their parents,
+    then below the next nodes up, so each step reads what the last one left and
+    the whole, which holds all ids, is no hot group.
     """
-    text = {c: F.col(c).cast("string") for c in levels}
     # a path ends before its first null
-    paths = rows.select(*(F.when(reduce(and_, (F.col(c).isNotNull() for c in levels[: k + 1])), text[name]).alias(name) for k, name in enumerate(levels))).distinct()
-    pairs = [
-        F.struct(F.lit(at).alias("level"), *((F.col(c) if k < at else F.lit(None).cast("string")).alias(f"_{c}") for k, c in enumerate(levels[:-1])), F.lit(below).alias("below"), F.col(levels[below]).alias("id"))
-        for at in range(len(levels))
-        for below in range(at, len(levels))
-    ]
-    there = lambda n: F.when(n["level"] == 0, True).otherwise(n["top"].isNotNull())
-    last = [F.lit(None).cast("string"), *(F.col(c) for c in levels[:-1])]
-    wide = paths.select(F.explode(F.filter(F.array(*(p.withField("top", last[k]) for p, k in zip(pairs, (at for at in range(len(levels)) for _ in range(at, len(levels))), strict=True))), there)).alias("n"))
-    wide = wide.select("n.*").drop("top").distinct()
-    counts = [F.when(F.col("level") <= k, F.count_if((F.col("below") == k) & F.col("id").isNotNull())).alias(f"n_{c}") for k, c in enumerate(levels)]
-    node = ["level", *(f"_{c}" for c in levels[:-1])]
-    return wide.groupBy(*node).agg(*counts).select("level", *(F.col(f"_{c}").cast(rows.schema[c].dataType).alias(c) for c in levels[:-1]), *(f"n_{c}" for c in levels))
+    paths = rows.select(*(F.when(reduce(and_, (F.col(c).isNotNull() for c in levels[: k + 1])), F.col(name)).alias(name) for k, name in enumerate(levels)), F.lit(1).cast("long").alias("_m"))
+    # the rows behind each are carried along: without use of them Spark would take every step from the first rows again
+    distinct = lambda df, *by: df.groupBy(*by).agg(F.sum("_m").alias("_m"))
+    upper = levels[:-1]
+    counted = []
+    for below in range(len(levels) - 1, -1, -1):
+        at = paths = distinct(paths, *levels[: below + 1])
+        for up in range(below, -1, -1):
+            at = at if up == below else distinct(at, *levels[:up], levels[below])
+            node = [(F.col(c) if k < up else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for k, c in enumerate(upper)]
+            n = F.count(F.when(F.col("_m") > 0, F.col(levels[below]))).alias("_n")
+            is_there = F.col(levels[up - 1]).isNotNull() if up else F.lit(True)
+            counted.append(at.groupBy(*levels[:up]).agg(n, F.count("*").alias("_k")).select(F.lit(up).alias("level"), *node, F.lit(below).alias("_below"), "_n", ((F.col("_k") > 0) & is_there).alias("_is")))
+    of = lambda k: F.coalesce(F.sum(F.when(F.col("_below") == k, F.col("_n"))), F.lit(0))
+    counts = [F.when(F.col("level") <= k, of(k)).alias(f"n_{c}") for k, c in enumerate(levels)]
+    out = reduce(DataFrame.unionByName, counted).groupBy("level", *upper).agg(*counts, F.bool_or("_is").alias("_is"))
+    return out.filter("_is").drop("_is")
 
 
 def nested(rows: DataFrame, levels: list[tuple[str, list[str]]], leaf: list[str]) -> DataFrame:

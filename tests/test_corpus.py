@@ -205,6 +205,8 @@ def test_rollup_counts(spark):
     want = {n: tuple(None if k < n[0] else len({p[k] for p in cut if len(p) > k and p[: n[0]] == n[1 : n[0] + 1]}) for k in range(4)) for n in nodes}
     assert got == want
     assert rows(hierarchy.rollup(df.limit(0), list("abcd"))) == []
+    # no path is laid out once for each pair of levels
+    assert not re.search("Generate|Expand", hierarchy.rollup(df, list("abcd"))._jdf.queryExecution().optimizedPlan().toString())
 
 
 def test_nested_levels(spark):
