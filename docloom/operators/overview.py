@@ -72,11 +72,13 @@ def supporting_blocks(blocks: DataFrame, keywords: DataFrame, titles: DataFrame,
     document's title is among them; ties go by block_id.
     """
     long = blocks.filter(F.char_length("text") >= SHORT)
-    held = vocabulary.held(long, ["doc_id", "block_id"], "text", keywords)
-    held = held.join(titles.select("doc_id", "title"), "doc_id", "left")
-    score = F.count_distinct("key") - F.max(F.coalesce(F.col("key") == F.col("title"), F.lit(False)).cast("long"))
+    # a list of keywords a block, not a row for each of them
+    held = vocabulary.held_lists(long, ["doc_id", "block_id"], "text", keywords)
+    held = held.join(titles.groupBy("doc_id").agg(F.collect_set("title").alias("titles")), "doc_id", "left")
+    titled = F.coalesce(F.arrays_overlap("keys", "titles"), F.lit(False)).cast("long")
+    blocks = held.groupBy("doc_id", "block_id").agg(F.array_distinct(F.flatten(F.collect_list("keys"))).alias("keys"), F.max("titles").alias("titles"))
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc("score"), "block_id"))
-    scored = held.groupBy("doc_id", "block_id").agg(score.alias("score")).withColumn("rank", rank)
+    scored = blocks.select("doc_id", "block_id", (F.size("keys") - titled).alias("score")).withColumn("rank", rank)
     return scored.filter(F.col("rank") <= most).select("doc_id", "rank", "block_id", "score")
 
 

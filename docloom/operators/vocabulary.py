@@ -49,13 +49,30 @@ def held(texts: DataFrame, id_cols: list[str], key_col: str, keys: DataFrame, br
     each text is passed over once where it stands.  Beyond, places of texts
     where a key may begin meet an index of the keys' beginnings in a shuffle.
     """
+    terms, texts, small = _terms_and_texts(texts, id_cols, key_col, keys, broadcast_bytes)
+    if not small:
+        return _held_by_index(texts, id_cols, terms)
+    return _held_by_automaton(texts, id_cols, terms).withColumn("key", F.explode("keys")).drop("keys")
+
+
+def held_lists(texts: DataFrame, id_cols: list[str], key_col: str, keys: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(id..., keys): what ``held`` finds as a list a row, of the rows of texts that hold any; only an index gathers the lists in a shuffle."""
+    terms, texts, small = _terms_and_texts(texts, id_cols, key_col, keys, broadcast_bytes)
+    if small:
+        return _held_by_automaton(texts, id_cols, terms)
+    return _held_by_index(texts, id_cols, terms).groupBy(*id_cols).agg(F.collect_list("key").alias("keys"))
+
+
+def _terms_and_texts(texts: DataFrame, id_cols: list[str], key_col: str, keys: DataFrame, broadcast_bytes: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Different keys, texts by their id, and whether the keys fit an automaton."""
     terms = keys.select(F.col("key").alias("__key")).filter("__key <> ''").distinct()
     size = terms.agg(F.coalesce(F.sum(F.octet_length("__key") + KEY_BYTES), F.lit(0)).alias("bytes")).first()["bytes"]
-    texts = texts.select(*id_cols, F.col(key_col).alias("__text"))
-    if size > broadcast_bytes:
-        return _held_by_index(texts, id_cols, terms)
+    return terms, texts.select(*id_cols, F.col(key_col).alias("__text")), size <= broadcast_bytes
+
+
+def _held_by_automaton(texts: DataFrame, id_cols: list[str], terms: DataFrame) -> DataFrame:
     words = texts.sparkSession.sparkContext.broadcast([r["__key"] for r in terms.collect()])
-    found = T.StructType([*texts.select(*id_cols).schema.fields, T.StructField("key", T.StringType())])
+    found = T.StructType([*texts.select(*id_cols).schema.fields, T.StructField("keys", T.ArrayType(T.StringType()))])
 
     def run(it: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(words.value)
@@ -63,10 +80,11 @@ def held(texts: DataFrame, id_cols: list[str], key_col: str, keys: DataFrame, br
             rows, hits = [], []
             for k, text in enumerate(batch.column("__text").to_pylist()):
                 here = {word for _, word in automaton.iter(text)} if text and words.value else ()
-                rows += [k] * len(here)
-                hits += here
+                if here:
+                    rows.append(k)
+                    hits.append(list(here))
             at = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in id_cols), pa.array(hits, pa.string())], [*id_cols, "key"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in id_cols), pa.array(hits, pa.list_(pa.string()))], [*id_cols, "keys"])
 
     return texts.mapInArrow(run, found)
 

@@ -131,3 +131,15 @@ def test_last_decision_counts(spark):
     decided = spark.createDataFrame([("1", "z", 1), ("1", "a", 2)], "k string, v string, seq int")
     assert sorted(tuple(r) for r in review.overlaid(rows, decided, "k", ["v"], seq="seq").collect()) == [("1", "a"), ("2", "old")]
     assert sorted(tuple(r) for r in review.overlaid(rows, decided, "k", ["v"]).collect()) == [("1", "z"), ("2", "old")]
+
+
+def test_supporting_blocks_keep_a_row_a_block(spark):
+    """No row for each keyword of a block; repeated blocks, titles and keywords count once."""
+    long = "alphabetagammadelta0"
+    blocks = spark.createDataFrame([(1, 0, long), (1, 0, "x" + long), (1, 1, long + "epsilon"), (1, 2, long), (2, 0, "short"), (3, 0, long)], "doc_id long, block_id long, text string")
+    words = spark.createDataFrame([("alpha",), ("alpha",), ("beta",), ("epsilon",), ("xalpha",), ("",), (None,)], "key string")
+    titles = spark.createDataFrame([(1, "alpha"), (1, "alpha"), (3, None), (4, "beta")], "doc_id long, title string")
+    got = overview.supporting_blocks(blocks, words, titles)
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 0, 2), (1, 2, 1, 2), (3, 1, 0, 2)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan and "key#" not in plan.split("MapInArrow")[0]
