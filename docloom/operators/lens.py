@@ -99,7 +99,8 @@ def draft_pack(groups: DataFrame, group: str, items: str, contents: str) -> dict
         "groups": head.select(group, F.size(items).cast("long").alias("n_items"), F.size(contents).cast("long").alias("n_contents")),
         "members": members.select(group, "item", (F.col("p") == 0).alias("is_representative")),
         "contents": exploded.select(content_id.alias("content_id"), group, (F.col("p") + 1).cast("long").alias("display_order"), "text"),
-        "links": exploded.select(group, content_id.alias("content_id")).join(members.select(group, "item"), group),
+        # an item for each content, in the group's own row: no join
+        "links": head.filter(F.col(group).isNotNull()).select(group, items, F.posexplode(contents).alias("p", "text")).select(group, content_id.alias("content_id"), F.explode(items).alias("item")),
         "displays": head.select(group, F.get(contents, F.lit(0)).alias("title_text")),
         "assertions": head.select(group, F.lit("seed_draft").alias("status")),
     }

@@ -184,6 +184,13 @@ def test_source_map_of_pages_without_lines(spark):
     assert align.source_map(paragraphs.limit(0), lines).count() == 0
 
 
+def test_draft_pack_links_without_a_join(spark):
+    groups = spark.createDataFrame([(1, [7, 8], ["a", "b"]), (2, [], ["c"]), (None, [9], ["d"]), (3, [5], None)], "g long, items array<int>, contents array<string>")
+    links = lens.draft_pack(groups, "g", "items", "contents")["links"]
+    assert sorted(tuple(r) for r in links.select("g", "content_id", "item").collect()) == [(1, "1-C01", 7), (1, "1-C01", 8), (1, "1-C02", 7), (1, "1-C02", 8)]
+    assert "Join" not in links._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lens(spark):
     terms = spark.createDataFrame([(1, "a", 1), (1, "b", 0), (2, "a", 1), (2, "b", 1), (3, "a", None)], "item int, term string, is_primary int")
     got = sorted(tuple(r) for r in lens.assigned(spark.range(1, 5).withColumnRenamed("id", "item"), terms, "item", "term").collect())
