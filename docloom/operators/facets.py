@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from docloom.operators.ranking import ranked
@@ -15,17 +17,35 @@ def half_up_percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.floor((200 * part + whole) / (2 * whole))).otherwise(0).cast("long")
 
 
+def _distinct(rows: DataFrame, keys: list[Column], of: str, *carried: tuple[str, Callable[[str], Column]]) -> GroupedData:
+    """A cell's different ``of``, grouped by the cell, with columns ``carried`` (name, how it is aggregated).
+
+    One kind of value at a time, so that no row is laid out once for each kind
+    that is counted.  Rows are dealt by cell and value first, over all shuffle
+    partitions: values are mostly different, and a table of them in each
+    earlier task, of which there may be few, would hold nearly all its rows.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(*keys, F.col(of).alias("of"), *(F.col(c).alias(f"_{c}") for c, _ in carried)).repartition(partitions, "policy", "domain", "of")
+    return dealt.groupBy("policy", "domain", "of").agg(*(how(f"_{c}").alias("e") for c, how in carried or [("", lambda _: F.lit(1))])).groupBy("policy", "domain")
+
+
+def _same_cell(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two tables of cells side by side; a null policy is a cell too."""
+    b = b.withColumnsRenamed({"policy": "__policy", "domain": "__domain"})
+    return a.join(b, F.col("policy").eqNullSafe(F.col("__policy")) & (F.col("domain") == F.col("__domain"))).drop("__policy", "__domain")
+
+
 def matrix(rows: DataFrame, policy: str, domain: str, group: str, content: str, evidence: str) -> DataFrame:
     """One row per (policy, domain): distinct groups, distinct contents, evidence and the intensity against the largest cell.
 
     ``rows`` has a row per content and term; a null term counts in the column
     ``unmapped``, so cells may add up to more than the contents.
     """
-    cells = rows.groupBy(F.col(policy).alias("policy"), F.coalesce(domain, F.lit(UNMAPPED)).alias("domain")).agg(
-        F.count_distinct(group).alias("n_groups"),
-        F.count_distinct(content).alias("n_contents"),
-        F.coalesce(F.sum(evidence), F.lit(0)).cast("long").alias("n_evidence"),
-    )
+    keys = [F.col(policy).alias("policy"), F.coalesce(domain, F.lit(UNMAPPED)).alias("domain")]
+    contents = _distinct(rows, keys, content, (evidence, F.sum)).agg(F.count("of").alias("n_contents"), F.coalesce(F.sum("e"), F.lit(0)).cast("long").alias("n_evidence"))
+    groups = _distinct(rows, keys, group).agg(F.count("of").alias("n_groups"))
+    cells = _same_cell(groups, contents).select("policy", "domain", "n_groups", "n_contents", "n_evidence")
     largest = F.greatest(F.max("n_contents").over(Window.partitionBy(F.lit(1))), F.lit(1))  # cells only: axis by axis
     return cells.withColumn("intensity", half_up_percent(F.col("n_contents"), largest))
 
@@ -110,7 +130,8 @@ def taxonomy_ids(rows: DataFrame) -> DataFrame:
 def matrix_detail(rows: DataFrame, policy: str, domain: str, group: str, content: str, reviewed: str, strategy: str) -> DataFrame:
     """(policy, domain, n_groups, n_contents, n_reviewed, status, top_strategy): a cell's counts, its review and its most frequent strategy, the first by name among equals."""
     keys = [F.col(policy).alias("policy"), F.coalesce(domain, F.lit(UNMAPPED)).alias("domain")]
-    cells = rows.groupBy(*keys).agg(F.count_distinct(group).alias("n_groups"), F.count_distinct(content).alias("n_contents"), F.count_distinct(F.when(F.col(reviewed), F.col(content))).alias("n_reviewed"))
+    contents = _distinct(rows, keys, content, (reviewed, F.bool_or)).agg(F.count("of").alias("n_contents"), F.count(F.when(F.col("e"), F.col("of"))).alias("n_reviewed"))
+    cells = _same_cell(_distinct(rows, keys, group).agg(F.count("of").alias("n_groups")), contents)
     mix = rows.groupBy(*keys, F.col(strategy).alias("s")).agg(F.count("*").alias("n")).groupBy("policy", "domain").agg(F.min(F.struct((-F.col("n")).alias("n"), "s")).alias("m"))
     return cells.join(mix, ["policy", "domain"]).select("policy", "domain", "n_groups", "n_contents", "n_reviewed", status_rollup(F.col("n_contents"), F.col("n_reviewed")).alias("status"), F.col("m.s").alias("top_strategy"))
 

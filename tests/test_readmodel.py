@@ -143,3 +143,19 @@ def test_supporting_blocks_keep_a_row_a_block(spark):
     assert sorted(tuple(r) for r in got.collect()) == [(1, 1, 0, 2), (1, 2, 1, 2), (3, 1, 0, 2)]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "Expand" not in plan and "key#" not in plan.split("MapInArrow")[0]
+
+
+def test_cells_count_one_kind_at_a_time(spark):
+    """Against plain sets, with nulls everywhere; no row is laid out once for each kind of value."""
+    data = [(p, d, g, c, e, r, s) for k, (p, d, g, c) in enumerate((p, d, g, c) for p in ("x", None) for d in ("a", None, "unmapped") for g in (1, 2, None) for c in (10, 11, None)) for e, r, s in [(k % 3 or None, [True, False, None][k % 3], "uvw"[k % 2])] if k % 5]
+    df = spark.createDataFrame(data, "p string, d string, g int, c int, e int, r boolean, s string")
+    cells = {}
+    for row in data:
+        cells.setdefault((row[0], row[1] or "unmapped"), []).append(row)
+    size = lambda rows, at, keep=lambda r: True: len({r[at] for r in rows if keep(r)} - {None})
+    want = {k: (size(v, 2), size(v, 3), sum(r[4] or 0 for r in v)) for k, v in cells.items()}
+    found = facets.matrix(df, "p", "d", "g", "c", "e")
+    assert {(r["policy"], r["domain"]): (r["n_groups"], r["n_contents"], r["n_evidence"]) for r in found.collect()} == want
+    detail = facets.matrix_detail(df.filter("p is not null"), "p", "d", "g", "c", "r", "s")
+    assert {(r["policy"], r["domain"]): (r["n_groups"], r["n_contents"], r["n_reviewed"]) for r in detail.collect()} == {k: (size(v, 2), size(v, 3), size(v, 3, lambda r: r[5])) for k, v in cells.items() if k[0]}
+    assert not any("Expand" in x._jdf.queryExecution().optimizedPlan().toString() for x in (found, detail))
