@@ -185,3 +185,12 @@ def test_tries_cut_and_merge():
 def test_shares_beyond_64_bits():
     count = np.array([0, 9_000_000_001, 10**15], np.int64)
     assert divergence.shares(count, 2 * 10**15).tolist() == [1 + 10**9 * (int(c) + 1) // (2 * 10**15) for c in count]
+
+
+def test_named_article_keeps_short_sections():
+    """Where a page names its article, short sections at its ends stay, however long the others are."""
+    page = "<main><div><p>First.</p></div><div></div><div></div><div><p>" + "long text " * 200 + "</p></div><div></div><div></div><div><p>Last.</p></div></main>"
+    weight = [len(x.text) for x in main_text.lines_of(page)]
+    assert sum(weight[slice(*main_text.stretch(weight))]) < sum(weight)  # what the defaults would drop
+    text = main_text.main_text(page)
+    assert text.startswith("First. long") and text.endswith("text Last.")
