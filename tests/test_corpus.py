@@ -225,6 +225,30 @@ def test_shapes(spark):
         assert tuple(spark.range(1).select(shapes.fits(F.lit(good), F.lit(kind)), shapes.fits(F.lit(bad), F.lit(kind)), shapes.fits(F.lit(bad), F.lit(None))).first()) == (True, False, True)
 
 
+def test_shapes_hold_no_class_or_path_in_one_task(spark, monkeypatch):
+    """Against plain counts; nodes and facts aren't dealt by class or path alone, and the number of tasks follows theirs."""
+    monkeypatch.setattr(shapes, "ROWS", 50, raising=False)
+    rng = random.Random(5)
+    classes = [(f"s{rng.randrange(90)}", rng.choice("ABX")) for _ in range(150)] + [("s0", "A"), ("s0", "B"), ("none", "A"), ("s1", None)]
+    values = ["1", "-2", "1.5", "x", "2024-02-29", "true", "", None]
+    stated = [(f"s{rng.randrange(90)}", rng.choice("pqrz"), rng.choice(values)) for _ in range(800)] + [("s0", "p", f"v{k}") for k in range(300)] + [(None, "p", "1"), ("s1", None, "x")]
+    rules = [("A", "p", 1, 2, "integer"), ("B", "p", 2, None, "date"), ("A", "q", None, 1, "madeUp"), ("B", "q", 0, None, "boolean"), ("B", "r", 1, 1, None), ("B", "r", 1, 1, "string"), ("A", "t", 1, None, "double")]
+    good = {"integer": {"1", "-2"}, "date": {"2024-02-29"}, "boolean": {"1", "true"}}
+    frames = spark.createDataFrame(classes, "subject string, class string"), spark.createDataFrame(stated, "subject string, path string, value string")
+    got = shapes.violations(*frames, spark.createDataFrame(rules, shapes.SHAPES))
+    want = []
+    for s, c in set(classes):
+        for _, p, least, most, kind in (r for r in rules if r[0] == c):
+            held = {v for t, q, v in stated if (t, q) == (s, p) and v is not None}
+            wrong = len(held - good[kind]) if kind in good else 0
+            broken = (("minCount", len(held), least is not None and len(held) < least), ("maxCount", len(held), most is not None and len(held) > most), ("datatype", wrong, wrong > 0))
+            want += [(s, c, p, rule, n) for rule, n, bad in broken if bad]
+    assert rows(got) == sorted(want) and ("s0", "A", "p", "datatype") in {w[:4] for w in want}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"SortMergeJoin(\(\w+\))? \[(class|path)#\d+\]", plan)
+    assert set(re.findall(r"Exchange hashpartitioning\([^()]*, (\d+)\), REPARTITION_BY_NUM", plan)) == {str(len(stated) // 50 + 1)}
+
+
 def test_index_of_beginnings(spark, monkeypatch):
     """Against plain search, texts put together and apart: terms of all sizes, none across two texts; places where no term begins aren't laid out as rows."""
     rng = random.Random(11)
