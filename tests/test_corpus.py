@@ -294,6 +294,40 @@ def test_resolved_ids_shuffle_no_pairs(spark):
     assert not re.search(r"Window|Aggregate \[old_id#\d+, new_id#", got._jdf.queryExecution().optimizedPlan().toString())
 
 
+def test_resolved_ids_by_blocks(spark):
+    """Against plain counts, in few or many blocks, laid out together or id by id; the pairs are laid out once."""
+    rng = random.Random(5)
+    old, new = ([(k, rng.choice("abcdefghijklmnopqrstuvw")) for k in range(n) for _ in range(rng.randint(0, 6))] for n in (90, 60))
+    old += [(7, x) for x in "abcdefghijklmnopqrstuvw"]
+    frames = spark.createDataFrame(old, "old_id long, evidence string"), spark.createDataFrame(new, "new_id long, evidence string")
+    holders = {e: {x for x, f in new if f == e} for _, e in new}
+    weights = {o: {} for o, _ in old}
+    for o, e in sorted(set(old)):
+        for x in holders.get(e, ()):
+            weights[o].setdefault(x, []).append(len(holders[e]))
+    weights = {o: {x: int(sum(1_000_000 / n for n in sorted(ns)) + 0.5) for x, ns in ws.items()} for o, ws in weights.items()}
+    want = []
+    for o, ws in weights.items():
+        best = sorted(x for x, w in ws.items() if w == max(ws.values()))
+        bids = [w[best[0]] for w in weights.values() if best and best[0] in w]
+        outcome = "none" if not best else "tied" if len(best) > 1 else "outbid" if ws[best[0]] < max(bids) or bids.count(max(bids)) > 1 else "matched"
+        want.append((o, best[0] if best else None, ws[best[0]] if best else None, outcome))
+    for sizes in ({}, {"block": 40, "pairs": 50}, {"pairs": 1}):
+        got = resolve.resolved(*frames, **sizes)
+        assert rows(got, "old_id", "new_id", "weight", "outcome") == sorted(want) and len({w[3] for w in want}) >= 3
+    got.collect()
+    assert got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("CartesianProduct") == 1
+
+
+def test_resolved_ids_stores_no_lists(spark):
+    """40 pieces of evidence that 300 ids of either side hold: what is written for shuffles grows with the 24,000 rows, not with the 7,200,000 ids in their lists."""
+    held = spark.range(12_000).select((F.col("id") % 40).alias("evidence"), F.xxhash64(F.col("id") % 4_001).alias("id"))
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+    before = written()
+    assert resolve.resolved(held.withColumnRenamed("id", "old_id"), held.withColumnRenamed("id", "new_id")).count() == 4_001
+    assert written() - before < 2_000_000
+
+
 def test_read_models(spark):
     cells = spark.createDataFrame([("x", "a", 2), ("x", "z", 5), ("y", "b", 1), ("x", "a", 1)], "r string, c string, v int")
     assert [tuple(r) for r in facets.pivoted(cells, "r", "c", "v", ["b", "none", "a"]).orderBy("r").collect()] == [("x", 0, 0, 3), ("y", 1, 0, 0)]
